@@ -1,0 +1 @@
+"""Empty on purpose: every job reads complete reports and rebuilds its tables."""
