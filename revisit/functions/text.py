@@ -63,7 +63,7 @@ def casefold(value: Column, exact: bool = True) -> Column:
         return F.lower(value)
     source, target, expansions = _fold_tables()
     translated = F.translate(value, source, target)
-    pairs = F.create_map(*[F.lit(x) for item in expansions.items() for x in item])
+    pairs = F.str_to_map(F.lit(";".join(f"{a}={b}" for a, b in expansions.items())), F.lit(";"), F.lit("="))
     expanded = F.array_join(
         F.transform(F.split(translated, ""), lambda c: F.coalesce(F.element_at(pairs, c), c)), ""
     )
