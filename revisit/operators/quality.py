@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revisit.config import MATCH_STATUSES, Settings
@@ -351,7 +351,7 @@ def load_summary(tables: dict[str, DataFrame]) -> DataFrame:
     return _union(frames)
 
 
-def findings_text(spark: SparkSession, findings: DataFrame, limit: int = 100) -> list[str]:
+def findings_text(findings: DataFrame, limit: int = 100) -> list[str]:
     """Readable lines for a bounded number of findings."""
     shown = findings.orderBy("dataset", "name", F.desc("findings")).limit(limit).collect()
     return [

@@ -17,7 +17,8 @@ TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 def write_clean_csv(df: DataFrame, path: str) -> None:
     """Clean table as CSV with header; null is empty. Written in parallel, one file per partition."""
-    df.write.mode("overwrite").csv(path, header=True, timestampNTZFormat=TIME_FORMAT, emptyValue="")
+    options = {"header": True, "timestampNTZFormat": TIME_FORMAT, "emptyValue": ""}
+    df.write.mode("overwrite").format("csv").options(**options).save(path)
 
 
 def read_clean_csv(spark: SparkSession, path: str, dataset: str) -> DataFrame:
