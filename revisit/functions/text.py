@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from revisit.config import CLIENT_KEY_HEX_DIGITS, CLIENT_KEY_PREFIX, WALK_IN_SPELLINGS, WALK_IN_TOKEN
 
 # --- Fixed values: patterns and formats that decide the results. -------------
-WHITESPACE_RUN = r"(?U)[\s\x1c-\x1f]+"  # Unicode white space plus the four ASCII separators
+WHITESPACE_RUN = r"(?U)[\s\x1c-\x1f]+"  # Unicode white space and the four ASCII separators
 INTEGRAL_FLOAT_ID = r"(?U)^(\d+)\.0$"
 DURATION = r"^(?:(\d+)h:)?(\d+)min$"
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
@@ -21,7 +21,7 @@ NO_RATE = "—"
 # -----------------------------------------------------------------------------
 
 
-# The same characters one by one, from the interpreter's Unicode data.
+# The same characters one by one, from the interpreter's own data.
 WHITESPACE = "".join(chr(c) for c in range(0x10000) if chr(c).isspace())
 
 
@@ -31,6 +31,7 @@ def strip(value: Column) -> Column:
 
 
 def blank_to_null(value: Column) -> Column:
+    """For values that are cheap to read twice; also usable inside lambdas."""
     return F.when(value != "", value)
 
 
@@ -76,11 +77,13 @@ def casefold(value: Column, exact: bool = True) -> Column:
 
 
 def normalize_client_name(value: Column, walk_in_spellings: tuple[str, ...] = WALK_IN_SPELLINGS) -> Column:
-    """Collapse white space, keep case, map walk-in spellings to one token; blank is null."""
+    """Collapse white space, keep case, map walk-in spellings to one token; blank is null.
+
+    One chain of calls, so the text is scanned once however often the result is used.
+    """
     collapsed = F.trim(F.regexp_replace(value, WHITESPACE_RUN, " "))
-    # `lower` and full folding agree on which texts become these ASCII spellings.
-    is_walk_in = F.lower(collapsed).isin(*walk_in_spellings)
-    return blank_to_null(F.when(is_walk_in, F.lit(WALK_IN_TOKEN)).otherwise(collapsed))
+    spellings = "|".join(rf"\Q{s}\E" for s in walk_in_spellings)
+    return F.nullif(F.regexp_replace(collapsed, f"(?iu)^(?:{spellings})$", WALK_IN_TOKEN), F.lit(""))
 
 
 def make_client_key(normalized_name: Column, first_visit: Column) -> Column:
@@ -92,7 +95,7 @@ def make_client_key(normalized_name: Column, first_visit: Column) -> Column:
 
 def normalize_identifier(value: Column) -> Column:
     """Identifiers stay text; a spreadsheet's `.0` on a whole number is removed."""
-    return blank_to_null(F.regexp_replace(strip(value.cast("string")), INTEGRAL_FLOAT_ID, "$1"))
+    return F.nullif(F.regexp_replace(strip(value.cast("string")), INTEGRAL_FLOAT_ID, "$1"), F.lit(""))
 
 
 def parse_duration_minutes(value: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from revisit.config import Settings
 from revisit.operators import quality, visits
-from revisit.plans.cleaning import LINE, clean_tables
+from revisit.plans.cleaning import clean_tables
 from revisit.plans.gold import GOLD_VIEWS, dashboard_tables, gold_tables, register_views, require_views
 from revisit.schemas import report_columns
 from revisit.session import shared_dir
@@ -66,7 +66,11 @@ def refresh(spark: SparkSession, config: RefreshConfig) -> RefreshResult:
     lines = {name: reports.read_lines(spark, path) for name, path in config.inputs().items()}
     metadata = {name: reports.report_metadata(f, settings, config.delimiter) for name, f in lines.items()}
 
-    raw = {name: _land(spark, frame, name, config, version) for name, frame in lines.items()}
+    scratch = f"{shared_dir(spark)}/revisit-raw/{version}"
+    raw = {
+        name: reports.land(frame, report_columns(name), f"{scratch}/{name}", settings, config.delimiter)
+        for name, frame in lines.items()
+    }
     data = {name: df.where(~F.col("is_total")) for name, df in raw.items()}
     stored, handed = store.stage(clean_tables(data, settings), root, version)
     if config.write_csv:
@@ -110,18 +114,6 @@ def refresh(spark: SparkSession, config: RefreshConfig) -> RefreshResult:
     return RefreshResult(version, report, row_counts, gold)
 
 
-def _land(spark: SparkSession, lines: DataFrame, dataset: str, config: RefreshConfig, version: str) -> DataFrame:
-    """The wanted report columns as Parquet in the shared scratch folder.
-
-    The text is parsed once; the steps after read only the columns they need. The scratch
-    copy holds client names, so it is kept apart from the published versions.
-    """
-    rows = reports.data_rows(lines, config.settings, config.delimiter)
-    path = f"{shared_dir(spark)}/revisit-raw/{version}/{dataset}"
-    reports.pick(rows, report_columns(dataset), [*LINE, "is_total"]).write.mode("error").parquet(path)
-    return spark.read.parquet(path)
-
-
 def _empty_columns(raw: DataFrame, dataset: str) -> DataFrame:
     empty = reports.empty_columns(reports.column_counts(raw, report_columns(dataset)))
     return empty.select(

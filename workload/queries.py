@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revisit.config import Settings
+from revisit import schemas
 from revisit.functions import calendar, text
 from revisit.operators import identity, monthly, presentation, quality, retention, visits
 from revisit.plans import cleaning
+from revisit.session import shared_dir
 from revisit.sources import reports
 from workload import dumps, inputs
 from workload.inputs import SETTINGS, table
@@ -330,7 +331,9 @@ def validation_clients(spark, sf_dir):
 @query
 def validation_appointments(spark, sf_dir):
     """Appointments with the raw status letter, so that statuses are unexpected, and shared ids."""
-    resolved = identity_resolution(spark, sf_dir)
+    shared_dir(spark)
+    # Several checks read the result; it is written once instead of resolved for each.
+    resolved = identity_resolution(spark, sf_dir).checkpoint()
     orders = table(spark, sf_dir, "orders")
     events = orders.join(resolved, "o_orderkey").select(
         F.when(F.col("o_orderkey") % 100 != 0, F.floor(F.col("o_orderkey") / 2).cast("string")).alias("booking_id"),
@@ -383,9 +386,14 @@ def report_column_counts(spark, sf_dir):
     return counts.groupBy("column").agg(F.sum("n_values").alias("n_values"))
 
 
+def _landed(spark, dump: str, dataset: str) -> DataFrame:
+    path = dump.replace("/reports/", "/landed/")
+    raw = reports.land(reports.read_lines(spark, dump), schemas.report_columns(dataset), path)
+    return raw.where(~F.col("is_total"))
+
+
 def _client_report(spark, sf_dir):
-    lines = reports.read_lines(spark, dumps.client_dump(spark, sf_dir))
-    return cleaning.prepare_clients(cleaning.read_report(lines, "clients"))
+    return cleaning.prepare_clients(_landed(spark, dumps.client_dump(spark, sf_dir), "clients"))
 
 
 @query
@@ -399,8 +407,8 @@ def clean_clients(spark, sf_dir):
 @query
 def clean_appointments(spark, sf_dir):
     _, reference = _client_report(spark, sf_dir)
-    lines = reports.read_lines(spark, dumps.appointment_dump(spark, sf_dir))
-    return cleaning.clean_appointments(cleaning.read_report(lines, "appointments"), reference).select(
+    raw = _landed(spark, dumps.appointment_dump(spark, sf_dir), "appointments")
+    return cleaning.clean_appointments(raw, reference).select(
         "booking_id", "appointment_datetime", "main_category", "service", "service_value", "status",
         "service_length_minutes", "client_key", "client_match_status",
     )
@@ -409,8 +417,8 @@ def clean_appointments(spark, sf_dir):
 @query
 def clean_sales(spark, sf_dir):
     _, reference = _client_report(spark, sf_dir)
-    lines = reports.read_lines(spark, dumps.sales_dump(spark, sf_dir))
-    return cleaning.clean_sales(cleaning.read_report(lines, "sales"), reference).select(
+    raw = _landed(spark, dumps.sales_dump(spark, sf_dir), "sales")
+    return cleaning.clean_sales(raw, reference).select(
         "checkout_date", "transaction_id", "type", "category", "item", "quantity", "booking_date", "service_value",
         "discount", "client_key", "client_match_status",
     )
