@@ -37,7 +37,7 @@ class Limits:
 
     min_words: int = 50
     max_repeat_percent: int = 50
-    max_class_distance: float = 0.25
+    max_class_distance: float = 0.3
     min_class_chars: int = 200
     max_word_distance: float = 0.25
     min_histogram_words: int = 200
