@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,3 +57,46 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def fields(**kinds: str) -> T.StructType:
     """A schema from name=type pairs."""
     return T._parse_datatype_string(", ".join(f"`{k}` {v}" for k, v in kinds.items()))
+
+
+def running(df: DataFrame, keys: list[str], bucket: Column, order: list[str], value: Column, into: str) -> DataFrame:
+    """The sum of `value` over all rows of the same keys that come before a row, by bucket and then by order.
+
+    Two levels: within (keys, bucket), and over bucket totals, so a task holds a bucket and not a key. The
+    bucket must spread a key's rows; `order` must be unique among them.
+    """
+    b, v, total, earlier = fresh(df, "_bucket", "_value", "_total", "_earlier")
+    df = df.withColumn(b, bucket).withColumn(v, value)
+    by = [*keys, b]
+    totals = df.groupBy(*by).agg(F.sum(v).alias(total))
+    over = Window.partitionBy(*keys) if keys else Window.partitionBy()
+    totals = totals.select(*by, F.coalesce(F.sum(total).over(over.orderBy(b).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(earlier))
+    within = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return df.join(totals, by).withColumn(into, (F.col(earlier) + F.coalesce(F.sum(v).over(within), F.lit(0))).cast("long")).drop(b, v, earlier)
+
+
+#: What each step takes from a text, in this order; what is left is "other".
+CHARACTER_STEPS = (
+    ("plain_lower", "[a-z]+"),
+    ("space", r"[\x20\x09-\x0D]+"),
+    ("other_lower", r"\p{Ll}+"),
+    ("upper", r"\p{Lu}+"),
+    ("other_letter", r"\p{L}+"),
+    ("digit", r"\p{N}+"),
+    ("symbol", "[#*$%&|<>]+"),
+)
+
+
+def character_counts(df: DataFrame, text: str) -> tuple[DataFrame, dict[str, Column], list[str]]:
+    """The frame with the texts that are left after each step, the count of each class, and the added columns.
+
+    Each step's text is a column that is used twice, so that Spark evaluates it once; they get short quickly.
+    """
+    names = fresh(df, *(f"_without_{name}" for name, _ in CHARACTER_STEPS))
+    left, counts = text, {}
+    for (name, pattern), rest in zip(CHARACTER_STEPS, names):
+        df = df.withColumn(rest, F.regexp_replace(col(left), pattern, ""))
+        counts[name] = F.length(col(left)) - F.length(col(rest))
+        left = rest
+    counts["other"] = F.length(col(left))
+    return df, counts, names

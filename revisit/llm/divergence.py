@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revisit.llm.common import SPACES, WORD_GAP, col, fresh, let, materialise
+from revisit.llm.common import SPACES, WORD_GAP, character_counts, col, fresh, let, materialise
 
 #: Frequent function words of each language, the default parameter.
 COMMON_WORDS = {
@@ -39,23 +39,11 @@ class Limits:
     max_repeat_percent: int = 50
     max_class_distance: float = 0.3
     min_class_chars: int = 200
-    max_word_distance: float = 0.25
+    max_word_distance: float = 0.2
     min_histogram_words: int = 200
     common_words: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(COMMON_WORDS))
 
 
-#: What each step takes from the text, in this order; what is left is "other".
-STEPS = (
-    ("plain_lower", "[a-z]+"),
-    ("space", r"[\x20\x09-\x0D]+"),
-    ("other_lower", r"\p{Ll}+"),
-    ("upper", r"\p{Lu}+"),
-    ("other_letter", r"\p{L}+"),
-    ("digit", r"\p{N}+"),
-    ("symbol", "[#*$%&|<>]+"),
-)
-
-
 def _covered(positions: Column) -> Column:
     """Words covered by windows of three that begin at these ascending positions."""
     n = F.size(positions)
@@ -108,20 +96,15 @@ def statistics(docs: DataFrame, limits: Limits, text: str, lang: str, into: str)
     Each intermediate value is a column of its own that later columns refer to more than once, so that Spark
     evaluates it once.
     """
-    names = fresh(docs, "_text", "_trimmed", "_words", "_language", "_common", "_places", *(f"_without_{name}" for name, _ in STEPS))
-    whole, trimmed, words, language, common, places, *without = names
+    names = fresh(docs, "_text", "_trimmed", "_words", "_language", "_common", "_places")
+    whole, trimmed, words, language, common, places = names
     out = docs.withColumn(whole, F.coalesce(col(text), F.lit("")))
     out = out.withColumn(language, F.when(col(lang).isin(*limits.common_words), col(lang)).otherwise(REST))
     listed = F.array().cast("array<string>")
     for name, some in limits.common_words.items():
         listed = F.when(col(language) == name, F.array(*map(F.lit, some))).otherwise(listed)
     out = out.withColumn(common, listed)
-    left, counts = whole, {}
-    for (name, pattern), rest in zip(STEPS, without):
-        out = out.withColumn(rest, F.regexp_replace(col(left), pattern, ""))
-        counts[name] = F.length(col(left)) - F.length(col(rest))
-        left = rest
-    counts["other"] = F.length(col(left))
+    out, counts, without = character_counts(out, whole)
     out = out.withColumn(trimmed, F.btrim(col(whole), F.lit(SPACES)))
     out = out.withColumn(words, F.when(col(trimmed) == "", F.array().cast("array<string>")).otherwise(F.split(col(trimmed), WORD_GAP, -1)))
     out = out.withColumn(places, F.transform(col(words), lambda w: F.array_position(col(common), F.lower(w))))
@@ -136,7 +119,7 @@ def statistics(docs: DataFrame, limits: Limits, text: str, lang: str, into: str)
         F.array(*(counts[c].cast("double") for c in CLASSES)).alias("classes"),
         F.array(*(F.size(col(places)) - F.size(F.array_remove(col(places), F.lit(k))) for k in range(n_common + 1))).cast("array<double>").alias("common"),
     )
-    return out.withColumn(into, stats).drop(*names)
+    return out.withColumn(into, stats).drop(*names, *without)
 
 
 def references(counted: DataFrame, stats: str, n_common: int) -> DataFrame:

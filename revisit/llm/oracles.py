@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from revisit.llm import divergence
+from revisit.llm import divergence, mixing
+from revisit.llm.common import CHARACTER_STEPS
 
 ORACLES: dict[str, str] = {}
 _LIMITS = divergence.Limits()
@@ -18,7 +19,7 @@ def _js(p: str, q: str) -> str:
 def _divergence() -> str:
     common = " ".join(f"WHEN '{k}' THEN {list(v)}" for k, v in _LIMITS.common_words.items())
     left, classes = "t", {}
-    for name, pattern in divergence.STEPS:
+    for name, pattern in CHARACTER_STEPS:
         rest = f"regexp_replace({left}, '{pattern}', '', 'g')"
         classes[name] = f"length({left}) - length({rest})"
         left = rest
@@ -56,3 +57,43 @@ FROM judged"""
 
 
 ORACLES["op8_distribution_divergence"] = _divergence()
+
+
+def _mix(mix: mixing.Mix) -> str:
+    return f"""
+WITH sizes AS (
+  SELECT row_number() OVER () AS row, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),
+ranked AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS k FROM sizes GROUP BY source),
+weighed AS (
+  SELECT *, {list(mix.weights)}[k % {len(mix.weights)} + 1] AS weight, source_size * {mix.max_repeats} AS most, sum(source_size) OVER () * {mix.share}::DOUBLE AS total FROM ranked),
+filling AS (
+  SELECT *, total - coalesce(sum(most) OVER earlier, 0) AS remaining, sum(weight) OVER () - coalesce(sum(weight) OVER earlier, 0) AS remaining_weight
+  FROM weighed WINDOW earlier AS (ORDER BY most / weight, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+filled AS (SELECT *, most * remaining_weight <= weight * remaining AS is_full FROM filling),
+goals AS (
+  SELECT *, CASE WHEN is_full THEN most::DOUBLE ELSE weight * (total - coalesce(sum(most) FILTER (is_full) OVER (), 0)) / coalesce(sum(weight) FILTER (NOT is_full) OVER (), 0) END AS target FROM filled),
+entries AS (
+  SELECT row, size, goals.source_size, target, floor(target + 0.5)::BIGINT AS goal, k, repeat, md5(doc_id::VARCHAR || ':' || repeat::VARCHAR) AS key
+  FROM sizes JOIN goals ON sizes.source IS NOT DISTINCT FROM goals.source CROSS JOIN range({mix.max_repeats}) AS r(repeat)),
+placed AS (
+  SELECT row, size, goal, coalesce(sum(size) OVER (PARTITION BY k ORDER BY repeat, key, row ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM entries),
+taken AS (SELECT row, sum(greatest(0, least(size, goal - place)))::BIGINT AS taken FROM placed GROUP BY row)
+SELECT doc_id, size, source_size, target::DOUBLE AS target, taken
+FROM sizes JOIN taken USING (row) JOIN goals ON sizes.source IS NOT DISTINCT FROM goals.source"""
+
+
+ORACLES["op9_low_discrepancy_mix"] = _mix(mixing.Mix())
+
+
+ORACLES["op4_reply_trees"] = """
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
+sized AS (
+  SELECT *, 14 + length(replace(replace(replace(replace(role, '\\', '\\\\'), '##', '#\\#'), '</turn>', '<\\/turn>'), ':', '\\:'))
+            + length(replace(replace(replace(text, '\\', '\\\\'), '##', '#\\#'), '</turn>', '<\\/turn>')) AS chars FROM turns)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(chars)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id"""
