@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from revisit.llm import chat, dartminhash, divergence, mixing, packing, rule_ensemble, simhash, token_planes
+from revisit.llm import chat, dartminhash, divergence, mixing, packing, rule_ensemble, simhash, suffix_dedup, token_planes
 from revisit.llm.common import materialise, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,3 +75,8 @@ def op8_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_low_discrepancy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
+@query
+def op10_two_stage_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
