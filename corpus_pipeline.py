@@ -1,18 +1,52 @@
-"""A corpus pipeline of five operators of `revisit.llm`."""
+"""A corpus pipeline: five stages, each one operator of `revisit.llm` over all that the stage before kept.
+
+Each stage is written as Parquet and read again as the next one's documents. All but the last return the
+columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from revisit.llm import divergence
+from revisit.llm import dartminhash, divergence, mixing, packing, suffix_dedup
 from revisit.llm.common import materialise, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules or diverge from their language go."""
     return divergence.quality_filter(docs)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return dartminhash.near_dedup(docs)
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that stand earlier are taken out; documents of which no word is left go."""
+    return suffix_dedup.remove_repeats(docs).filter(r"text rlike '[^\\x20\\x09-\\x0D]'")
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them, the last of a source cut to its target."""
+    return mixing.mix_documents(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, with their places in sequences."""
+    import public_tokenizers
+
+    return packing.pack_report(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("suffix_array_dedup", suffix_array_dedup),
+    ("source_mix", source_mix),
+    ("pack", pack),
+]
+#: Tokenizing and signatures are not SQL's; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

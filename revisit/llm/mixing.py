@@ -87,6 +87,8 @@ def slots(goals: DataFrame, mix: Mix) -> DataFrame:
     point = F.explode(F.sequence("low", "high")).alias("point")
     slot = F.expr(f"cast(cast(point as decimal(19,0)) * cast({back} as decimal(19,0)) % cast({max(total, 1)} as decimal(19,0)) as bigint)")
     placed = runs.select("k", point).select("k", slot.alias("slot")).withColumn("part", F.floor(F.col("slot") / many))
+    # Written, so that joins know its size: Spark guesses that of exploded ranges from the few rows they come from.
+    placed = materialise(placed, "mix-slots")
     parts = placed.groupBy("k", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("k").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("k", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from revisit.llm import chat, dartminhash, divergence, mixing, packing, rule_ensemble, simhash, suffix_dedup, token_planes
+from revisit.llm import chat, dartminhash, divergence, mixing, packing, rule_ensemble, simhash, suffix_dedup, token_planes, toxicity
 from revisit.llm.common import materialise, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,17 @@ def op2_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_report(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op3_windowed_recurrent_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(~held_out).select("doc_id", F.col("toxic").alias("label"))
+    shape = toxicity.Shape()
+    net = toxicity.train(*toxicity.training_texts(docs, labels, shape), shape)
+    out = toxicity.scored(docs, net)
+    return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 @query
 def op4_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")

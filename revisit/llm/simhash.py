@@ -104,7 +104,8 @@ def close_pairs(distinct: DataFrame, search: Search = Search()) -> DataFrame:
     same = (a["choice"] == b["choice"]) & (a["kh"] == b["kh"]) & (a["kl"] == b["kl"])
     ordered = (F.col("a_high") < F.col("b_high")) | ((F.col("a_high") == F.col("b_high")) & (F.col("a_low") < F.col("b_low")))
     near = F.bit_count(x_high) + F.bit_count(x_low) <= search.radius
-    return a.join(b, same & ordered & near & (a["choice"] == first)).select("a_high", "a_low", "b_high", "b_low")
+    # Exploded tables are larger than Spark guesses: never a broadcast.
+    return a.join(b.hint("merge"), same & ordered & near & (a["choice"] == first)).select("a_high", "a_low", "b_high", "b_low")
 
 
 def links(printed: DataFrame, search: Search = Search()) -> DataFrame:
