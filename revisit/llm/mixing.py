@@ -2,7 +2,7 @@
 
 Each source's documents are shuffled by hash and laid end to end, once per repeat, and cut into blocks of
 equal numbers of words. A source gets as many slots of the schedule as its target fills blocks. Slot i of Q
-holds the point (i * g) mod Q, with g the integer next to Q over the golden ratio that has no divisor in
+holds the point (i * g) mod Q, with g an integer near Q over the golden ratio that has no divisor in
 common with Q: a golden-ratio sequence on Q points, in which each point comes once. The points are mapped
 through the cumulative slot counts of the sources, so each source gets just its slots, spread evenly; its
 n-th slot, by rank, takes its n-th block. The last block is cut at the target.
@@ -69,14 +69,29 @@ def targets(sizes: DataFrame, mix: Mix) -> DataFrame:
     return filled.select("source", "k", "source_size", "target", F.least(F.floor(F.col("target") + 0.5), F.col("most")).cast("long").alias("goal"))
 
 
+def golden_step(total: int) -> int:
+    """A whole number near total over the golden ratio, without a common divisor, whose multiples spread evenly.
+
+    Of the numbers close by, the one whose ratio to total has the smallest partial quotients.
+    """
+
+    def unevenness(step: int) -> tuple[int, float]:
+        a, b, most = total, step, 0
+        while b:
+            most, (a, b) = max(most, a // b), (b, a % b)
+        return most, abs(step - golden)
+
+    golden = total * (math.sqrt(5) - 1) / 2
+    near = range(max(1, int(golden) - 100), max(2, int(golden) + 101))
+    return min((x for x in near if math.gcd(x, total) == 1), key=unevenness, default=1)
+
+
 def slots(goals: DataFrame, mix: Mix) -> DataFrame:
     """slot, k, block: the schedule. goals: k and goal of each source, a small table that is read twice."""
     quota = F.ceil(F.col("goal") / F.lit(mix.block)).cast("long")
     needed = goals.filter("goal > 0").select("k", quota.alias("quota"))
     total = needed.agg(F.coalesce(F.sum("quota"), F.lit(0)).alias("q")).first()["q"]
-    step = round(total * (math.sqrt(5) - 1) / 2) or 1
-    while math.gcd(step, total) > 1:
-        step += 1
+    step = golden_step(total)
     back = pow(step, -1, total) if total > 1 else 0
     ranges = needed.withColumn("first", F.sum("quota").over(Window.orderBy("k").rowsBetween(Window.unboundedPreceding, -1)))
     ranges = ranges.withColumn("first", F.coalesce("first", F.lit(0)))

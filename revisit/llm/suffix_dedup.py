@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revisit.llm.common import col, fresh, materialise
 from revisit.llm.hashing import mix, text_bytes
@@ -357,22 +358,26 @@ def remove_repeats(docs: DataFrame, r: Repeats = Repeats(), doc_id: str = "doc_i
     """
     doc, tie, cuts_name = fresh(docs, "_doc", "_tie", "_cuts")
 
+    names = list(docs.columns)
+    at, chars = names.index(text), names.index("n_chars") if "n_chars" in names and text != "n_chars" else None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.schema.names
-            texts, cuts = batch.column(names.index(text)), batch.column(names.index(cuts_name)).to_pylist()
-            data, offsets = text_bytes(texts)
-            old, new = texts.to_pylist(), []
+            *columns, cuts = batch.columns
+            cuts = cuts.to_pylist()
+            data, offsets = text_bytes(columns[at])
+            old, new = columns[at].to_pylist(), []
             for i, c in enumerate(cuts):
                 new.append(old[i] if not c else _kept(data[offsets[i] : offsets[i + 1]], c)[0].tobytes().decode("utf-8", "ignore"))
-            columns = {n: batch.column(k) for k, n in enumerate(names) if n != cuts_name}
-            columns[text] = pa.array(new, pa.string())
-            if "n_chars" in columns and text != "n_chars":
-                counts = columns["n_chars"].to_pylist()
-                columns["n_chars"] = pa.array([n if not c else len(x) for n, c, x in zip(counts, cuts, new)], columns["n_chars"].type)
-            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+            columns[at] = pa.array(new, pa.string())
+            if chars is not None:
+                columns[chars] = pa.array([n if not c else len(x) for n, c, x in zip(columns[chars].to_pylist(), cuts, new)], columns[chars].type)
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
 
     named = _identified(docs, doc_id, text, doc, tie)
     cuts = spans(named.select(col(doc).alias("doc"), col(tie).alias("tie"), col(text).alias("text")), r).toDF(doc, tie, cuts_name)
-    rows = named.join(cuts, [doc, tie], "left")
-    return rows.select(*(col(c) for c in docs.columns), cuts_name).mapInArrow(run, docs.schema)
+    rows = named.join(cuts, [doc, tie], "left").select(*(col(c) for c in names), cuts_name)
+    # Plain names on the way: a column's own may hold dots.
+    plain = [f"c{i}" for i in range(len(names))]
+    kinds = T.StructType([T.StructField(n, f.dataType) for n, f in zip(plain, docs.schema)])
+    return rows.toDF(*plain, "cuts").mapInArrow(run, kinds).toDF(*names)
