@@ -49,14 +49,11 @@ class Settings:
     datetime_formats: tuple[tuple[str, str], ...] = DATETIME_FORMATS
     # Decimal places kept when money is summed. Sums run on decimals, so they do
     # not depend on the order in which partitions arrive.
-    money_scale: int = 2
+    money_scale: int = 9
     # Fold names as Unicode full case folding; False uses plain `lower`.
     exact_casefold: bool = True
     # A single join key, or a single (client, hour), above this many rows is split.
     hot_rows: int = 1_000_000
-    # Upper limit on how many hot keys are broadcast. Keys beyond it still take
-    # the ordinary shuffle, so results do not change.
-    max_hot_keys: int = 10_000
 
     @property
     def completed(self) -> str:

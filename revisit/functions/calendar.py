@@ -63,5 +63,9 @@ def ratio(part: Column, whole: Column, places: int = 4) -> Column:
 
 
 def money(value: Column, settings: Settings) -> Column:
-    """Money for summing: exact, so the order of addition does not matter."""
-    return value.cast(f"decimal(18,{settings.money_scale})")
+    """Money for summing: kept to `money_scale` places, so the order of addition does not matter.
+
+    Nothing is rounded to cents here. A sum has 10 digits more than a value. What is not finite or
+    too large for a value is null.
+    """
+    return value.try_cast(f"decimal(28,{settings.money_scale})")

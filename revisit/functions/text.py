@@ -15,6 +15,7 @@ WHITESPACE_RUN = r"(?U)[\s\x1c-\x1f]+"  # Unicode white space and the four ASCII
 INTEGRAL_FLOAT_ID = r"(?U)^(\d+)\.0$"
 DURATION = r"^(?:(\d+)h:)?(\d+)min$"
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+LARGEST_NUMBER = 1e18  # larger ones, infinity too, are no amounts and no counts
 NOT_ALPHANUMERIC = r"[^A-Za-z0-9]+"
 NOT_YET_ELIGIBLE = "Not yet eligible"
 NO_RATE = "—"
@@ -101,15 +102,19 @@ def normalize_identifier(value: Column) -> Column:
 def parse_duration_minutes(value: Column) -> Column:
     """`2h:15min` or `45min` as minutes; any other text is null."""
     text = strip(value)
-    hours = F.regexp_extract(text, DURATION, 1).try_cast("int")
-    minutes = F.regexp_extract(text, DURATION, 2).try_cast("int")
-    return F.when(text.rlike(DURATION), F.coalesce(hours, F.lit(0)) * 60 + minutes)
+    hours = F.nullif(F.regexp_extract(text, DURATION, 1), F.lit(""))
+    minutes = F.regexp_extract(text, DURATION, 2)
+    # As 64-bit numbers of at most 12 digits nothing can overflow; what is no 32-bit number in the end is null.
+    fits = (F.coalesce(F.length(hours), F.lit(0)) <= 12) & (F.length(minutes) <= 12)
+    total = F.coalesce(hours.try_cast("long"), F.lit(0)) * 60 + minutes.try_cast("long")
+    return F.when(text.rlike(DURATION) & fits, total).try_cast("int")
 
 
 def parse_number(value: Column) -> Column:
-    """Plain decimal text as double; currency signs, separators and suffixes give null."""
+    """Plain decimal text as double; currency signs, separators, suffixes and numbers out of range give null."""
     text = strip(value.cast("string"))
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    number = text.try_cast("double")
+    return F.when(text.rlike(NUMBER) & (F.abs(number) < LARGEST_NUMBER), number)
 
 
 def parse_whole_number(value: Column) -> Column:

@@ -158,7 +158,7 @@ def service_monthly(analysis: DataFrame, settings: Settings = Settings()) -> Dat
     value = F.when(completed, money(F.col("service_value"), settings))
     minutes = F.when(completed, F.col("service_length_minutes"))
     day = F.when(completed, F.col("appointment_date"))
-    value_count = F.nullif(F.count(value), F.lit(0)).cast("decimal(12,0)")
+    value_count = F.nullif(F.count(value), F.lit(0)).cast("decimal(20,0)")
     return (
         analysis.groupBy(F.col("appointment_month").alias("month"), "service")
         .agg(

@@ -53,6 +53,8 @@ class RefreshResult:
     report: dict
     row_counts: dict[str, int]
     gold: dict
+    # What was loaded: rows per table, distinct transactions, the status histogram.
+    summary: DataFrame
 
 
 def refresh(spark: SparkSession, config: RefreshConfig) -> RefreshResult:
@@ -63,12 +65,18 @@ def refresh(spark: SparkSession, config: RefreshConfig) -> RefreshResult:
         return store.version_path(root, version, name)
 
     reports.require_sources(spark, list(config.inputs().values()))
-    lines = {name: reports.read_lines(spark, path) for name, path in config.inputs().items()}
-    metadata = {name: reports.report_metadata(f, settings, config.delimiter) for name, f in lines.items()}
-
     scratch = f"{shared_dir(spark)}/revisit-raw/{version}"
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("error").parquet(f"{scratch}/{name}")
+        return spark.read.parquet(f"{scratch}/{name}")
+
+    # The text is read once; headers are searched once, and serve metadata, checks and rows.
+    lines = {name: written(reports.read_lines(spark, path), f"{name}_lines") for name, path in config.inputs().items()}
+    found = {name: written(reports.heads(f, settings, config.delimiter), f"{name}_heads") for name, f in lines.items()}
+    metadata = {name: reports.report_metadata(f, settings, config.delimiter, found[name]) for name, f in lines.items()}
     raw = {
-        name: reports.land(frame, report_columns(name), f"{scratch}/{name}", settings, config.delimiter)
+        name: reports.land(frame, report_columns(name), f"{scratch}/{name}", settings, config.delimiter, found[name])
         for name, frame in lines.items()
     }
     data = {name: df.where(~F.col("is_total")) for name, df in raw.items()}
@@ -81,7 +89,7 @@ def refresh(spark: SparkSession, config: RefreshConfig) -> RefreshResult:
     findings = findings.unionByName(quality.validate_appointments(stored["appointments"], settings))
     findings = findings.unionByName(quality.validate_sales(stored["sales"]))
     for name, df in raw.items():
-        findings = findings.unionByName(_empty_columns(df, name))
+        findings = findings.unionByName(_empty_columns(df, name)).unionByName(_missing_headers(found[name], name))
     findings.write.mode("error").parquet(place("findings"))
     findings = spark.read.parquet(place("findings"))
     report = files.write_validation_report(
@@ -91,6 +99,7 @@ def refresh(spark: SparkSession, config: RefreshConfig) -> RefreshResult:
     if problems:
         raise GateError(problems, report)
     store.check_load(stored, handed, settings)
+    quality.load_summary(stored).write.mode("error").parquet(place("load_summary"))
 
     days = visits.visit_days(visits.analysis_appointments(stored["appointments"], settings), settings)
     days.write.mode("error").parquet(place("visit_days"))
@@ -111,7 +120,17 @@ def refresh(spark: SparkSession, config: RefreshConfig) -> RefreshResult:
         df.write.mode("error").parquet(place(f"dashboard/{name}"))
 
     store.publish(spark, root, version)
-    return RefreshResult(version, report, row_counts, gold)
+    return RefreshResult(version, report, row_counts, gold, spark.read.parquet(place("load_summary")))
+
+
+def _missing_headers(found: DataFrame, dataset: str) -> DataFrame:
+    return reports.missing_headers(found).select(
+        F.lit(dataset).alias("dataset"),
+        F.lit("error").alias("kind"),
+        F.lit("file_without_header").alias("name"),
+        F.lit(1).cast("long").alias("findings"),
+        F.col("source_file").alias("detail"),
+    )
 
 
 def _empty_columns(raw: DataFrame, dataset: str) -> DataFrame:

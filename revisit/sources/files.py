@@ -13,20 +13,25 @@ from revisit.config import Settings
 from revisit.sources.store import apply_contract
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+CSV = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def write_clean_csv(df: DataFrame, path: str) -> None:
-    """Clean table as CSV with header; null is empty. Written in parallel, one file per partition."""
-    options = {"header": True, "timestampNTZFormat": TIME_FORMAT, "emptyValue": ""}
+    """Clean table as CSV with header; null is empty. Written in parallel, one file per partition.
+
+    As usual in CSV, a quote inside a quoted cell is doubled. White space around a text is kept.
+    """
+    options = {"header": True, "timestampNTZFormat": TIME_FORMAT, "emptyValue": "", **CSV}
     df.write.mode("overwrite").format("csv").options(**options).save(path)
 
 
 def read_clean_csv(spark: SparkSession, path: str, dataset: str) -> DataFrame:
     """Clean CSV under the column contract; identifiers stay text.
 
-    Files may have more columns, in any order: they are read by name as text and cast.
+    Files may have more columns, in any order: they are read by name as text and cast. A text may
+    hold line breaks, so a file can't be split; tables are read in parallel by file.
     """
-    raw = spark.read.csv(path, header=True, inferSchema=False)
+    raw = spark.read.options(**CSV).csv(path, header=True, inferSchema=False, multiLine=True)
     typed = {
         f.name: (
             F.to_timestamp_ntz(f.name, F.lit(TIME_FORMAT)) if f.dataType == schemas.MOMENT
@@ -70,10 +75,14 @@ def write_validation_report(
 ) -> dict:
     """One JSON document with the run, and per dataset its sources, findings and metrics.
 
-    Holds one entry per check. A list with a data-dependent length (values of a histogram,
-    source files) shows its first `limit` entries and the total number; `findings` itself
-    is complete.
+    All findings, and the sources of each dataset, are written in full as JSON lines beside it
+    (`<path>_findings`, `<path>_sources/<dataset>`), by the executors. In the document a list with
+    a data-dependent length (values of a histogram, source files) shows its first `limit` entries
+    and the total number.
     """
+    findings.write.mode("overwrite").json(f"{path}_findings")
+    for name, frame in metadata.items():
+        frame.write.mode("overwrite").json(f"{path}_sources/{name}")
     ranked = findings.withColumn(
         "entry",
         F.row_number().over(_per_check().orderBy(F.desc_nulls_last("findings"), F.asc_nulls_last("detail"))),
@@ -98,6 +107,8 @@ def write_validation_report(
         sources = frame.orderBy("source_file").limit(limit).collect()
         datasets.setdefault(name, {})["sources"] = [s.asDict() for s in sources]
         datasets[name]["output"] = name
+        if (n_sources := frame.count()) > limit:
+            datasets[name].setdefault("shortened", {})["sources"] = n_sources
     report = {
         "generated_at_utc": datetime.now(timezone.utc).isoformat(),
         "input_dir": input_dir,

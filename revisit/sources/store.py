@@ -12,13 +12,15 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from revisit import schemas
 from revisit.config import Settings
-from revisit.operators.quality import load_checks
+from revisit.operators.quality import foreign_key_violations, load_checks
+
+SAMPLE = 10  # offending keys that a failed load names
 
 PUBLISHED = "version string, published_at timestamp"
 
@@ -114,4 +116,12 @@ def check_load(stored: dict[str, DataFrame], handed: dict[str, int], settings: S
     # A fixed number of rules, one row each.
     broken = load_checks(stored, handed, settings).where(F.col("violations") > 0).collect()
     if broken:
-        raise LoadError(sorted(f"{r.table_name}: {r.rule} broken by {r.violations} rows" for r in broken))
+        raise LoadError(sorted(_said(r, stored) for r in broken))
+
+
+def _said(broken: Row, stored: dict[str, DataFrame]) -> str:
+    text = f"{broken.table_name}: {broken.rule} broken by {broken.violations} rows"
+    if broken.rule != "client_key_known":
+        return text
+    orphans = foreign_key_violations(stored[broken.table_name], stored["clients"]).orderBy("client_key").limit(SAMPLE)
+    return f"{text}, first keys: {', '.join(r.client_key for r in orphans.collect())}"

@@ -51,8 +51,22 @@ def test_identifiers(spark):
 
 
 def test_durations(spark):
-    given = ["1h:30min", "45min", "0min", "1h", " 2h:5min ", "x45min", None, "90 min"]
-    assert apply(spark, text.parse_duration_minutes, given) == [90, 45, 0, None, 125, None, None, None]
+    given = ["1h:30min", "45min", "0min", "1h", " 2h:5min ", "x45min", None, "90 min", "99999999h:5min", "9" * 40 + "min", "35791394h:7min", "35791394h:8min"]
+    assert apply(spark, text.parse_duration_minutes, given) == [90, 45, 0, None, 125, None, None, None, None, None, 2147483647, None]
+
+
+def test_numbers_out_of_range(spark):
+    assert apply(spark, text.parse_number, ["1e400", "-1e400", "1e18", "-9e17"]) == [None, None, None, -9e17]
+
+
+def test_money_is_not_rounded_row_by_row(spark):
+    from revisit.config import Settings
+    from revisit.functions.calendar import money
+
+    rows = spark.range(1000).select(F.lit(0.004).alias("v"))
+    assert float(rows.agg(F.sum(money(F.col("v"), Settings()))).first()[0]) == 4.0
+    large = spark.createDataFrame([(1e17,), (float("inf"),), (1e30,)], "v double")
+    assert float(large.agg(F.sum(money(F.col("v"), Settings()))).first()[0]) == 1e17
 
 
 def test_numbers(spark):

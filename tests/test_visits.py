@@ -77,7 +77,7 @@ def test_numbering_equals_a_plain_window_also_when_hours_are_split(spark, hot_ro
         rows.append((str(i), moment, client))
     base = analysis(spark, rows)
     known = clients(spark, {k: DAY(2025, 8, 1) for k in ("hot", "a", "b")})
-    out = visits.client_completed_visits(base, known, Settings(hot_rows=hot_rows, max_hot_keys=5))
+    out = visits.client_completed_visits(base, known, Settings(hot_rows=hot_rows))
     plain = base.where("client_key <> 'c'").select(
         "booking_id",
         F.row_number().over(Window.partitionBy("client_key").orderBy("appointment_datetime", "booking_id")).alias("n"),

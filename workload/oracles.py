@@ -139,7 +139,7 @@ volume AS (
          count(*) FILTER (status = 'Cancelled') AS lost, count(*) FILTER (status = 'No-show') AS absent,
          count(DISTINCT client_key) FILTER (status = 'Completed') AS people,
          {big("sum(CASE WHEN status = 'Completed' THEN minutes ELSE 0 END)")} AS minutes,
-         CAST(sum(CASE WHEN status = 'Completed' THEN CAST(value AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS value
+         CAST(CAST(sum(CASE WHEN status = 'Completed' THEN CAST(value AS DECIMAL(28,9)) ELSE 0 END) AS DECIMAL(38,2)) AS DOUBLE) AS value
   FROM svc GROUP BY month
 ),
 people AS (
@@ -306,7 +306,7 @@ FROM counted, total""",
     "service_monthly": f"""WITH {APPT},
 c AS (
   SELECT month, service, count(*) AS booked, count(*) FILTER (status = 'Completed') AS done,
-         {big("sum(CAST(CAST(value AS DECIMAL(18,2)) * 100 AS BIGINT)) FILTER (status = 'Completed')")} AS cents,
+         {big("100 * (sum(CAST(value AS DECIMAL(28,9))) FILTER (status = 'Completed'))")} AS cents,
          {big("sum(minutes) FILTER (status = 'Completed')")} AS mins,
          count(minutes) FILTER (status = 'Completed') AS n_mins,
          min(d) FILTER (status = 'Completed') AS lo, max(d) FILTER (status = 'Completed') AS hi
@@ -352,13 +352,13 @@ SELECT o_orderkey, CASE o_orderkey % 5 WHEN 2 THEN 'a' || o_orderkey || '.0' WHE
          WHEN 4 THEN o_orderkey || '.05' ELSE CAST(o_orderkey AS VARCHAR) END AS source_id
 FROM orders""",
     "parse_duration": """
-SELECT o_orderkey, CAST(CASE o_orderkey % 4 WHEN 0 THEN o_orderkey % 3 * 60 + o_orderkey % 60
-         WHEN 1 THEN o_orderkey % 60 END AS INTEGER) AS minutes
+SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CASE o_orderkey % 4 WHEN 0 THEN o_orderkey % 3 * 60 + o_orderkey % 60
+         WHEN 1 THEN o_orderkey % 60 END END AS INTEGER) AS minutes
 FROM orders""",
     "numeric_coercion": """
-SELECT o_orderkey, CASE o_orderkey % 7 WHEN 2 THEN -CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE)
+SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CASE o_orderkey % 7 WHEN 2 THEN -CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE)
          WHEN 5 THEN CAST(o_orderkey * 100 AS DOUBLE)
-         WHEN 6 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) END AS amount
+         WHEN 6 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) END END AS amount
 FROM orders""",
     "event_datetime": """
 SELECT o_orderkey, CASE WHEN o_orderkey % 7 IN (0, 1, 4, 5)

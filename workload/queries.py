@@ -166,7 +166,8 @@ def parse_duration(spark, sf_dir):
     hours, minutes = (F.col("o_orderkey") % 3).cast("string"), (F.col("o_orderkey") % 60).cast("string")
     turn = F.col("o_orderkey") % 4
     raw = (
-        F.when(turn == 0, F.concat(hours, F.lit("h:"), minutes, F.lit("min")))
+        F.when(F.col("o_orderkey") % 11 == 0, F.concat(F.lit("99999999"), hours, F.lit("h:5min")))
+        .when(turn == 0, F.concat(hours, F.lit("h:"), minutes, F.lit("min")))
         .when(turn == 1, F.concat(F.lit(" "), minutes, F.lit("min ")))
         .when(turn == 2, F.concat(hours, F.lit("h")))
         .otherwise(F.concat(minutes, F.lit(" min")))
@@ -178,7 +179,8 @@ def parse_duration(spark, sf_dir):
 def numeric_coercion(spark, sf_dir):
     price, turn = F.col("o_totalprice").cast("decimal(18,2)").cast("string"), F.col("o_orderkey") % 7
     raw = (
-        F.when(turn == 0, F.concat(F.lit("$"), price))
+        F.when(F.col("o_orderkey") % 11 == 0, F.concat(price, F.lit("e400")))
+        .when(turn == 0, F.concat(F.lit("$"), price))
         .when(turn == 1, F.concat(price, F.lit("d")))
         .when(turn == 2, F.concat(F.lit(" -"), price, F.lit(" ")))
         .when(turn == 3, F.lit("NaN"))
@@ -367,7 +369,7 @@ RAW_APPOINTMENT = [
 
 @query
 def report_rows(spark, sf_dir):
-    lines = reports.read_lines(spark, dumps.appointment_dump(spark, sf_dir))
+    lines = reports.stage_lines(reports.read_lines(spark, dumps.appointment_dump(spark, sf_dir)))
     return reports.pick(reports.report_rows(lines), RAW_APPOINTMENT)
 
 
@@ -380,7 +382,7 @@ def report_metadata(spark, sf_dir):
 @query
 def report_column_counts(spark, sf_dir):
     """Values per report column over all files, the total row included."""
-    lines = reports.read_lines(spark, dumps.appointment_dump(spark, sf_dir))
+    lines = reports.stage_lines(reports.read_lines(spark, dumps.appointment_dump(spark, sf_dir)))
     raw = reports.pick(reports.data_rows(lines), RAW_APPOINTMENT + ["payment_type"], ["source_file"])
     counts = reports.column_counts(raw, RAW_APPOINTMENT + ["payment_type"])
     return counts.groupBy("column").agg(F.sum("n_values").alias("n_values"))
@@ -388,7 +390,7 @@ def report_column_counts(spark, sf_dir):
 
 def _landed(spark, dump: str, dataset: str) -> DataFrame:
     path = dump.replace("/reports/", "/landed/")
-    raw = reports.land(reports.read_lines(spark, dump), schemas.report_columns(dataset), path)
+    raw = reports.land(reports.stage_lines(reports.read_lines(spark, dump)), schemas.report_columns(dataset), path)
     return raw.where(~F.col("is_total"))
 
 
