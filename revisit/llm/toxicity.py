@@ -1,13 +1,13 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, in numpy.
 
 A token is a lower-case word; its input joins a word part (a hashed embedding) and a character part (the mean of
-hashed embeddings of its character trigrams). Two gated recurrent passes, one in each direction, read a
+hashed embeddings of its trigrams and its first and last five characters, and the highest log-odds of one of them). Two gated recurrent passes, one in each direction, read a
 window of words; attention pools their states into a logit. All overlapping windows of a text are scored, and
 the text's logit is the highest, scaled to a probability.
 
 Training: on the driver, on a bounded sample, at most `max_docs` labelled texts of each class (those with the
-smallest hash of doc_id) of at most `max_chars` characters. The first word dimension starts as the word's smoothed log-odds in
-the sample. In each step all windows of some texts are read, and the highest few of each text are learned.
+smallest hash of doc_id) of at most `max_chars` characters. The first word dimension starts as the word's smoothed
+log-odds in the sample; those of character runs stay as they are. In each step all windows of some texts are read, and the highest few of each text are learned.
 
 Scoring covers whole texts of any length. Null texts are empty; an empty text is one empty window. Several
 labels of one document count by their mean, null ones don't count; without labels of both kinds the score is
@@ -33,13 +33,13 @@ class Shape:
     """The network's sizes, the window and its step (in words), and the training."""
 
     words: int = 1 << 14
-    grams: int = 1 << 12
+    grams: int = 1 << 15
     word_size: int = 8
     gram_size: int = 8
     hidden: int = 12
     attention: int = 8
     window: int = 32
-    step: int = 16
+    step: int = 24
     max_docs: int = 1200
     max_chars: int = 20_000
     epochs: int = 6
@@ -61,11 +61,12 @@ _EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
 def codes(word: str, s: Shape) -> tuple[int, list[int]]:
-    """The bucket of a token's word and those of its character trigrams."""
+    """The bucket of a token's word and those of its character trigrams and of its first and last five characters, ends marked."""
     word = word.strip(_EDGES)
-    data = f"<{word}>".encode()
-    grams = [zlib.crc32(data[i : i + 3]) % s.grams for i in range(max(1, len(data) - 2))]
-    return zlib.crc32(word.encode()) % s.words, grams
+    data = f"<{word}>"
+    runs = [data[i : i + 3] for i in range(max(1, len(data) - 2))] + [data[:5], data[-5:]]
+    size = s.grams
+    return zlib.crc32(word.encode()) % s.words, [zlib.crc32(x.encode()) % size for x in runs]
 
 
 class Network:
@@ -74,7 +75,8 @@ class Network:
         d, h = s.word_size + s.gram_size, s.hidden
         init = lambda *n: (rng.standard_normal(n) / np.sqrt(n[0])).astype(np.float32)
         self.shape, self.scale = s, (1.0, 0.0)
-        self.p = {"word": (0.1 * rng.standard_normal((s.words, s.word_size))).astype(np.float32), "gram": (0.1 * rng.standard_normal((s.grams, s.gram_size))).astype(np.float32)}
+        self.p = {"word": (0.1 * rng.standard_normal((s.words, s.word_size))).astype(np.float32), "gram": (0.1 * rng.standard_normal((s.grams, s.gram_size - 1))).astype(np.float32)}
+        self.odds = np.zeros(s.grams, np.float32)
         for way in ("f", "b"):
             self.p |= {f"x{way}": init(d, 3 * h), f"h{way}": init(h, 3 * h), f"c{way}": np.zeros(3 * h, np.float32)}
         self.p |= {"u": init(2 * h, s.attention), "v": init(s.attention), "o": init(2 * h), "k": np.zeros(1, np.float32)}
@@ -84,8 +86,10 @@ class Network:
     def inputs(self, word: np.ndarray, grams: list[list[int]]) -> np.ndarray:
         counts = np.array([len(g) for g in grams])
         flat = np.concatenate([np.asarray(g, np.int64) for g in grams])
-        sums = np.add.reduceat(self.p["gram"][flat], np.cumsum(counts) - counts, axis=0)
-        return np.concatenate([self.p["word"][word], sums / counts[:, None].astype(np.float32)], axis=1)
+        first = np.cumsum(counts) - counts
+        sums = np.add.reduceat(self.p["gram"][flat], first, axis=0)
+        odds = np.maximum.reduceat(self.odds[flat], first)[:, None]
+        return np.concatenate([self.p["word"][word], odds, sums / counts[:, None].astype(np.float32)], axis=1)
 
     # ---------------------------------------------------------- passes
 
@@ -183,16 +187,28 @@ def train(texts: list[str], labels: np.ndarray, s: Shape = Shape()) -> Network:
     ids = [np.array([table.setdefault(w, len(table)) for w in tokens(t)], np.int64) for t in texts]
     word, grams = zip(*(codes(w, s) for w in table)) if table else ((0,), ([0],))
     word, grams = np.array(word), list(grams)
-    seen = np.zeros((2, s.words))
-    for some, y in zip(ids, labels):
-        np.add.at(seen[int(y)], np.unique(word[some]), 1)
-    totals = np.maximum(np.bincount(labels.astype(int), minlength=2), 1)
-    odds = np.log((seen[1] + 1) / (totals[1] + 2)) - np.log((seen[0] + 1) / (totals[0] + 2))
-    # A bucket seen in few texts says little.
-    net.p["word"][:, 0] = (np.clip(odds, -4, 4) * np.minimum(1, seen.sum(0) / 5)).astype(np.float32)
     gram_of = np.concatenate([np.asarray(g) for g in grams])
     gram_n = np.array([len(g) for g in grams])
     gram_at = np.cumsum(gram_n) - gram_n
+
+    def spots(used: np.ndarray) -> np.ndarray:
+        """Where the grams of some words lie in gram_of."""
+        n = gram_n[used]
+        return np.repeat(gram_at[used] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+    seen, seen_grams = np.zeros((2, s.words)), np.zeros((2, s.grams))
+    for some, y in zip(ids, labels):
+        some = np.unique(some)
+        np.add.at(seen[int(y)], np.unique(word[some]), 1)
+        np.add.at(seen_grams[int(y)], np.unique(gram_of[spots(some)]), 1)
+    totals = np.maximum(np.bincount(labels.astype(int), minlength=2), 1)
+
+    def log_odds(counts: np.ndarray) -> np.ndarray:
+        odds = np.log((counts[1] + 1) / (totals[1] + 2)) - np.log((counts[0] + 1) / (totals[0] + 2))
+        # A bucket seen in few texts says little.
+        return (np.clip(odds, -4, 4) * np.minimum(1, counts.sum(0) / 5)).astype(np.float32)
+
+    net.p["word"][:, 0], net.odds = log_odds(seen), log_odds(seen_grams)
     state = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     t = 0
     for epoch in range(s.epochs):
@@ -221,10 +237,8 @@ def train(texts: list[str], labels: np.ndarray, s: Shape = Shape()) -> Network:
             grads["word"], grads["gram"] = np.zeros_like(net.p["word"]), np.zeros_like(net.p["gram"])
             if len(used):
                 np.add.at(grads["word"], word[used], by_word[:-1, : s.word_size])
-                per = by_word[:-1, s.word_size :] / gram_n[used][:, None].astype(np.float32)
-                n = gram_n[used]
-                spots = np.repeat(gram_at[used] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                np.add.at(grads["gram"], gram_of[spots], np.repeat(per, n, axis=0))
+                per = by_word[:-1, s.word_size + 1 :] / gram_n[used][:, None].astype(np.float32)
+                np.add.at(grads["gram"], gram_of[spots(used)], np.repeat(per, gram_n[used], axis=0))
             t += 1
             for k, g in grads.items():
                 m, v = state[k]
@@ -251,17 +265,18 @@ def train(texts: list[str], labels: np.ndarray, s: Shape = Shape()) -> Network:
 class Scorer:
     """Scores texts; keeps the input gates of words it has met, up to a bound."""
 
-    def __init__(self, net: Network, most: int = 120_000):
+    def __init__(self, net: Network, most: int = 300_000):
         self.net, self.most = net, most
-        k = 6 * net.shape.hidden
         self.known: dict[str, int] = {}
-        self.table = np.zeros((1024, k), np.float32)
+        # Input gates of the forward and the backward pass.
+        self.tables = [np.zeros((1024, 3 * net.shape.hidden), np.float32) for _ in "fb"]
         self._forget()
 
     def _forget(self) -> None:
         self.known.clear()
         empty = np.zeros((1, self.net.shape.word_size + self.net.shape.gram_size), np.float32)
-        self.table[0] = np.concatenate(self.net.gates(empty), axis=1)[0]
+        for table, gates in zip(self.tables, self.net.gates(empty)):
+            table[0] = gates[0]
 
     def _rows(self, some: list[list[str]]) -> list[np.ndarray]:
         new: dict[str, None] = {}
@@ -273,18 +288,46 @@ class Scorer:
             new = dict.fromkeys(w for words in some for w in words)
         if new:
             first = len(self.known) + 1
-            if first + len(new) > len(self.table):
-                grown = np.zeros((max(2 * len(self.table), first + len(new)), self.table.shape[1]), np.float32)
-                grown[: len(self.table)] = self.table
-                self.table = grown
+            if first + len(new) > len(self.tables[0]):
+                size = max(2 * len(self.tables[0]), first + len(new))
+                self.tables = [np.concatenate([t, np.zeros((size - len(t), t.shape[1]), np.float32)]) for t in self.tables]
             names = list(new)
             for lo in range(0, len(names), 8192):
                 word, grams = zip(*(codes(w, self.net.shape) for w in names[lo : lo + 8192]))
                 x = self.net.inputs(np.array(word), list(grams))
-                self.table[first + lo : first + lo + len(word)] = np.concatenate(self.net.gates(x), axis=1)
+                for table, gates in zip(self.tables, self.net.gates(x)):
+                    table[first + lo : first + lo + len(word)] = gates
             self.known.update(zip(names, range(first, first + len(names))))
         return [np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)) for words in some]
 
+    def _logits(self, token: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        """What Network.logits gives, place by place, so that each step reads one stretch of memory."""
+        h, p, (n, t) = self.net.shape.hidden, self.net.p, token.shape
+        token, mask = np.ascontiguousarray(token.T), np.ascontiguousarray(mask.T)
+        states = np.empty((t, n, 2 * h), np.float32)
+        with np.errstate(over="ignore"):
+            for way, table in enumerate(self.tables):
+                weight, state = p["hfhb"[2 * way : 2 * way + 2]], np.zeros((n, h), np.float32)
+                for i in range(t) if way == 0 else reversed(range(t)):
+                    g, gh = table[token[i]], state @ weight
+                    zr = g[:, : 2 * h] + gh[:, : 2 * h]
+                    np.exp(np.negative(zr, out=zr), out=zr)
+                    zr += 1
+                    np.reciprocal(zr, out=zr)
+                    new = gh[:, 2 * h :] * zr[:, h:]
+                    new += g[:, 2 * h :]
+                    np.tanh(new, out=new)
+                    new -= state
+                    new *= 1 - zr[:, :h]
+                    new *= mask[i][:, None]
+                    state = state + new
+                    states[i, :, way * h : (way + 1) * h] = state
+        e = np.where(mask > 0, np.tanh(states @ p["u"]) @ p["v"], -1e9)
+        e = np.exp(e - e.max(0)) * mask
+        alpha = e / np.maximum(e.sum(0), 1e-9)
+        # The pooled state meets only the output weights.
+        return (alpha * (states @ p["o"])).sum(0) + p["k"][0]
+
     def raw(self, texts: list[str | None]) -> np.ndarray:
         """The highest window's logit of each text."""
         s, out = self.net.shape, np.full(len(texts), -np.inf, np.float32)
@@ -298,11 +341,8 @@ class Scorer:
             flat = np.concatenate(rows)
             at, mask, owner = _layout(np.array([len(r) for r in rows]), s)
             token = np.where(at >= 0, flat[at], 0) if len(flat) else np.zeros(at.shape, np.int64)
-            half = 3 * s.hidden
             for a in range(0, len(token), 1024):
-                gates = self.table[token[a : a + 1024]]
-                logit = self.net.logits(gates[..., :half], gates[..., half:], mask[a : a + 1024])
-                np.maximum.at(out, lo + owner[a : a + 1024], logit)
+                np.maximum.at(out, lo + owner[a : a + 1024], self._logits(token[a : a + 1024], mask[a : a + 1024]))
             lo += len(some)
         return out
 
