@@ -17,7 +17,7 @@ from revisit.operators import quality, visits
 from revisit.plans.cleaning import clean_tables
 from revisit.plans.gold import GOLD_VIEWS, dashboard_tables, gold_tables, register_views, require_views
 from revisit.schemas import report_columns
-from revisit.session import shared_dir
+from revisit.session import remove_dir, shared_dir
 from revisit.sources import files, reports, store
 
 
@@ -58,15 +58,22 @@ class RefreshResult:
 
 
 def refresh(spark: SparkSession, config: RefreshConfig) -> RefreshResult:
-    settings, root = config.settings, config.root
+    """Run all stages. The scratch copies, which hold client names, go at the end, also of a failed run."""
     version = store.new_version()
+    scratch = f"{shared_dir(spark)}/revisit-raw/{version}"
+    try:
+        return _refresh(spark, config, version, scratch)
+    finally:
+        remove_dir(spark, scratch)
+
+
+def _refresh(spark: SparkSession, config: RefreshConfig, version: str, scratch: str) -> RefreshResult:
+    settings, root = config.settings, config.root
 
     def place(name: str) -> str:
         return store.version_path(root, version, name)
 
     reports.require_sources(spark, list(config.inputs().values()))
-    scratch = f"{shared_dir(spark)}/revisit-raw/{version}"
-
     def written(df: DataFrame, name: str) -> DataFrame:
         df.write.mode("error").parquet(f"{scratch}/{name}")
         return spark.read.parquet(f"{scratch}/{name}")

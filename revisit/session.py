@@ -41,3 +41,9 @@ def shared_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="revisit-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it exists, wherever Spark keeps it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

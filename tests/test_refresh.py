@@ -138,12 +138,14 @@ def test_gate_keeps_the_published_version(spark, report_paths, run, tmp_path):
     doubled = str(tmp_path / "doubled")
     for copy in ("a", "b"):
         spark.read.text(report_paths["appointments"] + "/file_id=0").coalesce(1).write.text(f"{doubled}/copy={copy}")
+    spark.createDataFrame([("x",)] * 3, "value string").coalesce(1).write.text(f"{doubled}/copy=short")
     config = RefreshConfig(
         clients=report_paths["clients"], appointments=doubled, sales=report_paths["sales"], root=root, settings=SETTINGS
     )
     with pytest.raises(GateError) as error:
         refresh(spark, config)
     assert any("rows_sharing_booking_id" in p for p in error.value.problems)
+    assert any("file_without_header" in p for p in error.value.problems)
     assert error.value.report["datasets"]["appointments"]["errors"]
     assert store.current_version(spark, root) == before.version
 
@@ -160,3 +162,21 @@ def test_load_checks_stop_the_publication(spark, run, tmp_path):
         store.read_table(spark, root, "clients")
     with pytest.raises(store.ContractError, match="service"):
         store.load({**tables, "appointments": tables["appointments"].drop("service")}, root)
+
+
+def test_scratch_with_names_is_gone(spark, run):
+    """After the good run and the failed ones above."""
+    from pathlib import Path
+
+    from revisit.session import shared_dir
+
+    assert not list(Path(shared_dir(spark).removeprefix("file:"), "revisit-raw").glob("*"))
+
+
+def test_load_error_names_the_keys(spark, run, tmp_path):
+    published, _ = run
+    tables = {t: store.read_table(spark, published, t) for t in ("clients", "appointments", "sales")}
+    tables["clients"] = tables["clients"].limit(0)
+    first = sorted(r[0] for r in tables["appointments"].select("client_key").distinct().dropna().collect())[0]
+    with pytest.raises(store.LoadError, match=f"first keys: {first}"):
+        store.load(tables, str(tmp_path / "other"))
