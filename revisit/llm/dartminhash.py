@@ -9,8 +9,9 @@ text's total weight, so a text costs about as many darts as the signature has co
 plus one cell for each element; texts with a coordinate that nothing hits are done again with twice the bound.
 
 Signatures are joined by bands. Equal texts are first made one class, so that copies cost one signature row.
-Within a bucket each class is compared with the least one; classes are compared with others in the bucket
-only if that has not put them into one component. All similarities are checked on the elements themselves.
+Within a bucket each class is compared with the least one. Where that has not put a bucket's classes into one
+component, an exact prefix filter finds the other pairs that may be near; no bucket is expanded into all its
+pairs. All similarities are checked on the elements themselves.
 Links (similarity of at least `similarity`) make components by min-label steps on DataFrames.
 
 `weights`: "set" gives each different element the weight 1, so that similarity is plain Jaccard; "count" its
@@ -162,6 +163,48 @@ def verified(pairs: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
     return both.mapInArrow(run, "a long, b long, similarity double")
 
 
+def prefix_pairs(open_: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
+    """Pairs (a, b) of open classes (class_row, component) that may be similar and are in different components.
+
+    An exact filter, without signatures. Each class's elements are put in one global order, the rarest first.
+    Two sets of n >= m elements with similarity s share at least s / (1 + s) * (n + m); so their first
+    shared element stands early enough in both that so many can still follow. Near copies differ from their
+    common source by rare elements, which come first, so those that are not similar enough seldom meet. The
+    shorter side is joined by its size class, and the longer only with the classes its place allows.
+    """
+    share = near.similarity / (1 + near.similarity)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, hashes, weights = (c.to_pylist() for c in batch.columns)
+            for lo in range(0, len(rows), 256):
+                some = [np.frombuffer(x, "<u8") for x in hashes[lo : lo + 256]]
+                # A weight of w counts as w elements.
+                times = [np.frombuffer(w, "<f4").astype(np.int64) if w else np.ones(len(x), np.int64) for x, w in zip(some, weights[lo : lo + 256])]
+                some = [np.repeat(x, t) if (t == 1).all() else mix(np.repeat(x, t) ^ (np.arange(t.sum()) - np.repeat(np.cumsum(t) - t, t)).astype(np.uint64)) for x, t in zip(some, times)]
+                row = np.repeat(np.array(rows[lo : lo + 256], np.int64), [len(x) for x in some])
+                yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(np.concatenate(some).view(np.int64))], ["row", "hash"])
+
+    wanted = sets.join(open_.select(F.col("class_row").alias("row")), "row", "left_semi").select("row", "hashes", "weights")
+    each = materialise(wanted.mapInArrow(run, "row long, hash long"), "near-elements")
+    often = each.groupBy("hash").agg(F.count("*").alias("often"))
+    ordered = each.join(often, "hash").groupBy("row").agg(F.count("*").alias("n"), F.sort_array(F.collect_list(F.struct("often", "hash"))).alias("elements"))
+    first = F.slice("elements", F.lit(1), (F.col("n") - F.ceil(F.col("n") * near.similarity - 1e-6) + 1).cast("int"))
+    prefix = ordered.join(open_.withColumnRenamed("class_row", "row"), "row").select("row", "component", "n", F.posexplode(first).alias("place", "e"))
+    prefix = materialise(prefix.filter("e.often > 1").select("row", "component", "n", "place", F.col("e.hash").alias("hash")), "near-prefixes")
+    size_class = lambda n: F.floor(F.log(n.cast("double")) / F.lit(float(np.log(1.05)))).cast("int")
+    low = F.ceil(F.col("n") * near.similarity - 1e-6)
+    high = F.least(F.col("n"), F.floor((F.col("n") - F.col("place")) / share - F.col("n") + 1e-6))
+    longer = prefix.withColumn("low", low).withColumn("high", high).filter("low <= high and high > 0")
+    longer = longer.select(F.col("row").alias("x"), F.col("component").alias("cx"), "n", "place", "hash", F.explode(F.sequence(size_class(F.greatest(F.lit(1), F.col("low"))), size_class(F.col("high")))).alias("class"))
+    shorter = prefix.filter(F.col("n") - F.col("place") >= 2 * share * F.col("n") - 1e-6)
+    shorter = shorter.select(F.col("row").alias("y"), F.col("component").alias("cy"), F.col("n").alias("m"), F.col("place").alias("at"), "hash", size_class(F.col("n")).alias("class"))
+    left = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("at"))
+    fits = (F.col("cx") != F.col("cy")) & ((F.col("n") > F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("x") < F.col("y")))) & (left >= share * (F.col("n") + F.col("m")) - 1e-6)
+    met = longer.join(shorter.hint("merge"), (longer["hash"] == shorter["hash"]) & (longer["class"] == shorter["class"]) & fits)
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, component (its least node) of a graph given by edges a, b.
 
@@ -201,11 +244,9 @@ def near_groups(numbered: DataFrame, row: str, doc_id: str, text: str, near: Nea
     # What a bucket still holds in several components is compared across them.
     placed = members.join(found.withColumnRenamed("node", "class_row"), "class_row", "left").withColumn("component", F.coalesce("component", "class_row"))
     split = placed.groupBy("band", "key").agg(F.min("component").alias("lowest"), F.max("component").alias("highest")).filter("lowest < highest").select("band", "key")
-    open_ = materialise(placed.join(split, ["band", "key"]), "near-open")
-    x = open_.select("band", "key", F.col("class_row").alias("a"), F.col("component").alias("ca"))
-    y = open_.select("band", "key", F.col("class_row").alias("b"), F.col("component").alias("cb"))
-    more = x.join(y, (x["band"] == y["band"]) & (x["key"] == y["key"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))).select("a", "b").distinct()
-    more = materialise(verified(more.join(stars, ["a", "b"], "left_anti"), sets, near), "near-links")
+    open_ = materialise(placed.join(split, ["band", "key"]).select("class_row", "component").distinct(), "near-open")
+    more = materialise(prefix_pairs(open_, sets, near), "near-pairs").join(stars, ["a", "b"], "left_anti")
+    more = materialise(verified(more, sets, near), "near-links")
     if not more.isEmpty():
         found = components(linked.unionByName(more))
     grouped = classes.join(found.withColumnRenamed("node", "class_row"), "class_row", "left")
