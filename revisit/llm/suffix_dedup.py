@@ -85,19 +85,21 @@ def anchors(data: np.ndarray, r: Repeats) -> tuple[np.ndarray, np.ndarray]:
     return at, h[at]
 
 
+_MULTIPLIERS = mix(np.arange(1, 4097, dtype=np.uint64)) | np.uint64(1)
+
+
 def _contexts(data: np.ndarray, at: np.ndarray, r: Repeats) -> np.ndarray:
     """Hashes of the bytes from `left` before each anchor to `length` after it, ends of the text included."""
     reach = -(-(r.left + r.length) // 8) * 8
-    padded = np.concatenate([np.zeros(r.left, np.uint8), data, np.zeros(reach, np.uint8)])
-    h = mix((np.minimum(at, r.left) << 32 | np.minimum(len(data) - at, r.length)).astype(np.uint64))
-    for i in range(0, reach, 8):
-        # The last word may hold bytes beyond the context.
-        over = max(0, i + 8 - (r.left + r.length))
-        word = np.lib.stride_tricks.sliding_window_view(padded, 8)[at + i].copy().view("<u8")[:, 0]
-        if over:
-            word = word & np.uint64((1 << (64 - 8 * over)) - 1)
-        h = mix(h ^ word)
-    return h
+    words = words_at(np.concatenate([np.zeros(r.left, np.uint8), data, np.zeros(reach, np.uint8)]), 0)
+    around = words[at[:, None] + np.arange(0, reach, 8)]
+    # The last word may hold bytes beyond the context.
+    over = reach - r.left - r.length
+    around[:, -1] &= np.uint64(2**64 - (1 << (8 * over)))
+    around ^= around >> np.uint64(31)
+    around *= _MULTIPLIERS[: around.shape[1]]
+    ends = (np.minimum(at, r.left) << 32 | np.minimum(len(data) - at, r.length)).astype(np.uint64)
+    return mix(around.sum(axis=1, dtype=np.uint64) ^ mix(ends))
 
 
 _ANCHOR = "h long, ctx long, doc long, tie int, at int, size int, gone boolean"
