@@ -1,29 +1,59 @@
 """Token ids of texts with a public tokenizer file, each distinct piece encoded once per worker.
 
-Both supported kinds of tokenizer cut a text at white space before they merge anything, so the ids of a text
-are those of its pieces one after the other: pieces are looked up in a bounded table and only new ones are
-given to the tokenizers library. Texts with characters on whose white-space class Python and the library may
-differ are given to the library whole. Special tokens inside texts are ordinary text.
+Both supported kinds of tokenizer cut a text at white space, and between a letter and a mark, before they merge
+anything, so the ids of a text are those of its pieces one after the other: pieces are looked up in a bounded
+table and only new ones are given to the tokenizers library. Texts with characters on whose white-space class
+Python and the library may differ are given to the library whole. Special tokens inside texts are ordinary text.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-#: Control separators and white space beyond ASCII, and what may combine across it.
-_ODD = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‏ -  -⁯　﻿]|[\\s][̀-ͯ]")
+#: Control separators and white space beyond ASCII.
+_ODD_LATIN = "\x1c\x1d\x1e\x1f\x85\xa0"
+_ODD = re.compile("[\x1c-\x1f\x85\xa0\u0300-\u036f\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
 #: Leading white space belongs to a word's piece.
 _SPACED = re.compile(r"\s*\S+|\s+")
+#: Marks that end a word; not the apostrophe, which may belong to it.
+_MARKS = ".,;:!?*#$%&|<>()[]{}-+=/\""
+#: In front of a key: the piece has no space before it.
+_BARE = "\0"
+
+
+def _byte_characters() -> dict[int, str]:
+    """The character by which byte-level merges write each byte: itself if it can be seen, else the next from 256."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_BYTES = _byte_characters()
+
+
+def _latin(text: str) -> bool:
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 class Encoder:
-    """Ids of texts. spaced: the tokenizer keeps white space, in front of words."""
+    """Ids of texts. spaced: the tokenizer keeps white space, in front of words.
+
+    A key of the table is a word: with the space before it if spaced, else alone. Other pieces have a mark in
+    front. The table has two generations of `most` keys; what is used moves to the newer one.
+    """
 
-    def __init__(self, path: str, spaced: bool, most: int = 300_000, longest: int = 40):
+    def __init__(self, path: str, spaced: bool, most: int = 600_000, longest: int = 40):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -31,42 +61,100 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() < 65536 else np.dtype("<u4")
         self.spaced, self.most, self.longest = spaced, most, longest
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, self.dtype).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.old: dict[str, bytes] = {}
+
+    def _encode(self, keys: list[str]) -> list[bytes]:
+        """The library's ids of keys. A run of letters is one piece for it, and can go to its merges at once."""
+        kind, out, rest = "H" if self.dtype.itemsize == 2 else "I", {}, []
+        for key in keys:
+            word = key[1:] if key[:1] == _BARE else key
+            if word.isalpha() and (word.isascii() or max(word) < "\u0100"):
+                word = " " + word if self.spaced and word is key else word if self.spaced else word.lower()
+                out[key] = array(kind, [x.id for x in self.model.tokenize(word.encode().decode("latin-1").translate(_BYTES))]).tobytes()
+            else:
+                rest.append(key)
+        if rest:
+            texts = [x[1:] if x[:1] == _BARE else " " + x if self.spaced else x for x in rest]
+            out.update(zip(rest, self._whole(texts)))
+        return [out[key] for key in keys]
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        kind = "H" if self.dtype.itemsize == 2 else "I"
+        return [array(kind, x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def pieces(self, text: str) -> list[str]:
-        if _ODD.search(text):
-            return [text]
-        return _SPACED.findall(text) if self.spaced else text.split()
+        """The keys of a text's pieces."""
+        if _BARE in text or (any(c in text for c in _ODD_LATIN) if _latin(text) else _ODD.search(text)):
+            return [_BARE + text]
+        if not self.spaced:
+            return text.split()
+        # Only single spaces and line feeds: cut at spaces, and in front of line feeds.
+        if any(x in text for x in ("\t", "\r", "\x0b", "\x0c", "  ", "\n\n", " \n", "\n ")):
+            return [_BARE + x for x in _SPACED.findall(text)]
+        out = text.replace("\n", " \n").split(" ")
+        out[0] = _BARE + out[0]
+        return out
+
+    def _parts(self, key: str) -> list[str]:
+        """Keys of the parts of a piece, between which the tokenizer always cuts."""
+        parts = []
+        if key[:1] == "\n":
+            parts, key = [_BARE + "\n"], _BARE + key[1:]
+        core = key.rstrip(_MARKS)
+        if len(core) < len(key) and core[-1:].isalpha() and core[-1] < "\u0100":
+            parts += [core, _BARE + key[len(core) :]]
+        elif key != _BARE:
+            parts.append(key)
+        return parts
+
+    def _learn(self, keys: list[str]) -> dict[str, bytes]:
+        """Ids of keys that are not in the newer generation."""
+        out, split, new = {}, {}, {}
+        for key in keys:
+            ids = self.old.get(key)
+            if ids is not None:
+                out[key] = ids
+                continue
+            split[key] = parts = self._parts(key)
+            for part in parts:
+                if part not in self.known and part not in out:
+                    ids = self.old.get(part)
+                    if ids is None:
+                        new[part] = None
+                    else:
+                        out[part] = ids
+        if new:
+            out.update(zip(new, self._encode(list(new))))
+        known = self.known
+        for key, parts in split.items():
+            if key not in out:
+                out[key] = b"".join([out[x] if x in out else known[x] for x in parts])
+        return out
 
     def encode(self, texts: Iterable[str | None], together: int = 64) -> Iterator[np.ndarray]:
         """The ids of each text in turn; null texts are empty."""
         some: list[list[str]] = []
         for text in texts:
-            some.append(self.pieces(text or ""))
+            some.append(self.pieces(text) if text else [])
             if len(some) == together:
                 yield from self._flush(some)
                 some = []
         yield from self._flush(some)
 
     def _flush(self, some: list[list[str]]) -> Iterator[np.ndarray]:
-        known, out, new = self.known, [], {}
+        known = self.known
+        new = set().union(*some).difference(known)
+        learned = self._learn(list(new)) if new else {}
+        known.update(learned)
         for pieces in some:
-            found = list(map(known.get, pieces))
-            if None in found:
-                new.update((p, b"") for p, ids in zip(pieces, found) if ids is None)
-            out.append(found)
-        if new:
-            new = dict(zip(new, self._encode(list(new))))
-        for pieces, found in zip(some, out):
-            if None in found:
-                found = [new[p] if ids is None else ids for p, ids in zip(pieces, found)]
-            yield np.frombuffer(b"".join(found), self.dtype)
-        if len(known) + len(new) > self.most:
-            known.clear()
-        known.update((p, ids) for p, ids in new.items() if len(p) <= self.longest)
+            yield np.frombuffer(b"".join(map(known.__getitem__, pieces)), self.dtype)
+        for key in learned:
+            if len(key) > self.longest:
+                del known[key]
+        if len(known) > self.most:
+            self.known, self.old = {}, known
 
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
