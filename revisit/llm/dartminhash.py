@@ -237,7 +237,8 @@ def near_groups(numbered: DataFrame, row: str, doc_id: str, text: str, near: Nea
     stars = members.filter("class_row <> least").select(F.col("least").alias("a"), F.col("class_row").alias("b")).distinct()
     stars = materialise(stars, "near-stars")
     candidates = members.select("class_row").distinct()
-    texts = numbered.select(col(row).alias("row"), col(text).alias("text")).join(candidates, F.col("row") == F.col("class_row"), "left_semi")
+    # The list of candidates grows with the corpus: joined by shuffle at every size.
+    texts = numbered.select(col(row).alias("row"), col(text).alias("text")).join(candidates.hint("merge"), F.col("row") == F.col("class_row"), "left_semi")
     sets = materialise(element_sets(texts, near), "near-sets")
     linked = materialise(verified(stars, sets, near), "near-links")
     found = components(linked)
