@@ -85,12 +85,12 @@ def distinct(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndar
     return hashes[at], owner[at], np.diff(np.append(at, len(hashes)))
 
 
-def slices(texts: pa.Array, most_bytes: int = 1 << 20):
-    """Parts of an array of texts of about so many bytes, as (first, part)."""
+def slices(texts: pa.Array, most_bytes: int = 1 << 19, most_texts: int = 512):
+    """Parts of an array of texts of about so many bytes and at most so many texts, as (first, part)."""
     lengths = texts.fill_null("").cast(pa.large_binary())
     offsets = np.frombuffer(lengths.buffers()[1], np.int64)[lengths.offset : lengths.offset + len(lengths) + 1] if len(lengths) else np.zeros(1, np.int64)
     lo = 0
     while lo < len(texts):
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + most_bytes, side="right")) - 1)
+        hi = max(lo + 1, min(lo + most_texts, int(np.searchsorted(offsets, offsets[lo] + most_bytes, side="right")) - 1))
         yield lo, texts.slice(lo, hi - lo)
         lo = hi
