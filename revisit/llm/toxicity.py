@@ -19,6 +19,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -60,13 +61,21 @@ def tokens(text: str | None) -> list[str]:
 _EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
+_buckets: dict[int, dict[str, int]] = {}
+
+
 def codes(word: str, s: Shape) -> tuple[int, list[int]]:
     """The bucket of a token's word and those of its character trigrams and of its first and last five characters, ends marked."""
     word = word.strip(_EDGES)
     data = f"<{word}>"
     runs = [data[i : i + 3] for i in range(max(1, len(data) - 2))] + [data[:5], data[-5:]]
-    size = s.grams
-    return zlib.crc32(word.encode()) % s.words, [zlib.crc32(x.encode()) % size for x in runs]
+    known = _buckets.setdefault(s.grams, {})
+    found = list(map(known.get, runs))
+    if None in found:
+        if len(known) > 200_000:
+            known.clear()
+        found = [known.setdefault(x, zlib.crc32(x.encode()) % s.grams) for x in runs]
+    return zlib.crc32(word.encode()) % s.words, found
 
 
 class Network:
@@ -84,8 +93,8 @@ class Network:
     # ---------------------------------------------------------- inputs
 
     def inputs(self, word: np.ndarray, grams: list[list[int]]) -> np.ndarray:
-        counts = np.array([len(g) for g in grams])
-        flat = np.concatenate([np.asarray(g, np.int64) for g in grams])
+        counts = np.fromiter(map(len, grams), np.int64, len(grams))
+        flat = np.fromiter(chain.from_iterable(grams), np.int64, counts.sum())
         first = np.cumsum(counts) - counts
         sums = np.add.reduceat(self.p["gram"][flat], first, axis=0)
         odds = np.maximum.reduceat(self.odds[flat], first)[:, None]
