@@ -208,7 +208,7 @@ def prefix_pairs(open_: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """node, component (its least node) of a graph given by edges a, b.
 
-    Each round, every node takes the least label around it and then its label's label, until nothing changes.
+    Each round, every node takes the least label around it and then, twice, its label's label, until nothing changes.
     """
     both = materialise(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "near-edges")
     labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("component")), "near-labels")
@@ -217,12 +217,25 @@ def components(edges: DataFrame) -> DataFrame:
         lowered = labels.join(around, labels["node"] == around["a"]).select("node", F.col("component").alias("old"), F.least("component", "low").alias("component"))
         lowered = materialise(lowered, "near-lowered")
         roots = lowered.select(F.col("node").alias("component"), F.col("component").alias("root"))
-        jumped = materialise(lowered.join(roots, "component").select("node", "old", F.col("root").alias("component")), "near-labels")
+        jumped = materialise(lowered.join(roots, "component").select("node", "old", F.col("root").alias("component")), "near-jumped")
+        roots = jumped.select(F.col("node").alias("component"), F.col("component").alias("root"))
+        jumped = materialise(jumped.join(roots, "component").select("node", "old", F.col("root").alias("component")), "near-labels")
         labels = jumped.select("node", "component")
         if jumped.filter("old <> component").isEmpty():
             return labels
 
 
+def merged(found: DataFrame, more: DataFrame) -> DataFrame:
+    """The components after further edges (a, b): only the components that these join are worked on."""
+    of = found.select(F.col("node").alias("n"), F.col("component").alias("c"))
+    ends = more.join(of, F.col("a") == F.col("n"), "left").select(F.coalesce("c", "a").alias("a"), "b")
+    ends = ends.join(of, F.col("b") == F.col("n"), "left").select("a", F.coalesce("c", "b").alias("b")).filter("a <> b")
+    joined = components(ends)
+    into = joined.select(F.col("node").alias("n"), F.col("component").alias("c"))
+    known = found.join(into, F.col("component") == F.col("n"), "left").select("node", F.coalesce("c", "component").alias("component"))
+    return known.unionByName(joined.join(found.select("node"), "node", "left_anti"))
+
+
 def near_groups(numbered: DataFrame, row: str, doc_id: str, text: str, near: Near = Near()) -> DataFrame:
     """row, doc_id, class_row (least row of the equal texts), group_row (that of the near ones): one row per document.
 
@@ -249,7 +262,7 @@ def near_groups(numbered: DataFrame, row: str, doc_id: str, text: str, near: Nea
     more = materialise(prefix_pairs(open_, sets, near), "near-pairs").join(stars, ["a", "b"], "left_anti")
     more = materialise(verified(more, sets, near), "near-links")
     if not more.isEmpty():
-        found = components(linked.unionByName(more))
+        found = merged(found, more)
     grouped = classes.join(found.withColumnRenamed("node", "class_row"), "class_row", "left")
     grouped = grouped.select("text_hash", "class_row", F.coalesce("component", "class_row").alias("group_row"))
     ids = numbered.select(col(row).alias("row"), col(doc_id).alias("doc_id"))

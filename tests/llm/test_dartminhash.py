@@ -114,3 +114,11 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in dm.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 1 for i in range(1, 8)}, 8: 8, 9: 8, 10: 8, 20: 20, 21: 20}
     assert dm.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_merged_components(spark):
+    first = [(1, 2), (3, 4), (5, 6)]
+    more = [(4, 6), (7, 8), (8, 2), (2, 1)]
+    frame = lambda edges: spark.createDataFrame(edges, "a long, b long")
+    got = {r["node"]: r["component"] for r in dm.merged(dm.components(frame(first)), frame(more)).collect()}
+    assert got == {r["node"]: r["component"] for r in dm.components(frame(first + more)).collect()}
