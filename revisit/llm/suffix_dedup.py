@@ -16,6 +16,8 @@ it reach, is its context.
    small even where an anchor is common. Segments of one key lie side by side in a task, which takes them block by block
    (whole groups), sorts all suffixes of a block (suffix_sort) and finds by adjacent common prefixes
    which strings stand more than once.
+   Keys with more segments than a block holds (a common passage shorter than a string, amid different text) are
+   not grouped: their strings go by 128-bit hashes, of which each task sends on the first of a block, as in 1 and 2.
 4. Spans are gathered by document and taken out.
 
 Nulls are empty texts. Rows of one doc_id are put in order of text, equal rows in any order, of which the first
@@ -40,7 +42,7 @@ from revisit.llm.suffix_sort import common_prefixes, suffix_array, words_at
 
 @dataclass(frozen=True)
 class Repeats:
-    """length: of strings. gram: bytes of an anchor, a multiple of 8. block: bytes sorted at once (more if one group has more)."""
+    """length: of strings. gram: bytes of an anchor, a multiple of 8. block: bytes of whole groups sorted at once; a larger group goes by hashes of its strings."""
 
     length: int = 100
     gram: int = 24
@@ -52,6 +54,11 @@ class Repeats:
         """How far strings that hold an anchor may begin before it."""
         return self.length - self.gram
 
+    @property
+    def group(self) -> int:
+        """How many segments a block holds in any case."""
+        return self.block // (self.length + self.left // 2)
+
 
 # ------------------------------------------------------------ anchors
 
@@ -265,8 +272,99 @@ def _later_strings(rows: list[tuple[int, int, int, bytes]], r: Repeats) -> Itera
         yield doc, tie, int(some[0]) & 0xFFFFFFFF, (int(some[-1]) & 0xFFFFFFFF) + r.length
 
 
+def _spans_of(places: np.ndarray, r: Repeats) -> Iterator[tuple[int, int, int, int]]:
+    """Spans (doc, tie, begin, end) of the strings at some places (doc, tie, at), sorted."""
+    doc, tie, at = places["doc"], places["tie"], places["at"]
+    apart = np.flatnonzero((doc[1:] != doc[:-1]) | (tie[1:] != tie[:-1]) | (at[1:] - at[:-1] > r.length)) + 1
+    first = np.concatenate([[0], apart])
+    last = np.append(apart, len(places)) - 1
+    yield from zip(doc[first].tolist(), tie[first].tolist(), at[first].tolist(), (at[last] + r.length).tolist())
+
+
+_PLACE = np.dtype([("doc", np.int64), ("tie", np.int32), ("at", np.int32)])
+_STRING = "gone boolean, a long, b long, doc long, tie int, begin int, end int"
+_STRING_NAMES = ["gone", "a", "b", "doc", "tie", "begin", "end"]
+
+
+def _sent_strings(rows: list[tuple], r: Repeats) -> Iterator[pa.RecordBatch]:
+    """Of the equal strings in some segments (doc, tie, begin, bytes) the first, and spans of the others, marked gone and dealt out by place."""
+    import xxhash
+
+    n = np.array([max(0, len(x[3]) - r.length + 1) for x in rows], np.int64)
+    if not n.sum():
+        return
+    hashes = b"".join([xxhash.xxh3_128_digest(x[3][i : i + r.length]) for x in rows for i in range(len(x[3]) - r.length + 1)])
+    pair, place = np.frombuffer(hashes, np.int64).reshape(-1, 2), np.empty(n.sum(), _PLACE)
+    place["doc"], place["tie"] = (np.repeat([x[i] for x in rows], n) for i in (0, 1))
+    place["at"] = np.repeat([x[2] for x in rows], n) + np.arange(len(place)) - np.repeat(np.cumsum(n) - n, n)
+    order = np.lexsort((place["at"], place["tie"], place["doc"], pair[:, 1], pair[:, 0]))
+    pair, place = pair[order], place[order]
+    new = np.ones(len(pair), bool)
+    new[1:] = (pair[1:] != pair[:-1]).any(axis=1)
+    # A string may lie in several segments: the same place again is not a later one.
+    late = place != place[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
+    sent = place[new]
+    columns = [np.zeros(len(sent), bool), pair[new, 0], pair[new, 1], sent["doc"], sent["tie"], sent["at"], sent["at"] + np.int32(r.length)]
+    for lo in range(0, len(sent), 1 << 16):
+        yield _batch([c[lo : lo + (1 << 16)] for c in columns], _STRING_NAMES)
+    if late.any():
+        doc, tie, begin, end = (np.array(c) for c in zip(*_spans_of(np.unique(place[late]), r)))
+        a = mix(doc.view(np.uint64) ^ mix(begin.astype(np.uint64))).view(np.int64)
+        yield _batch([np.ones(len(doc), bool), a, a, doc, tie.astype(np.int32), begin.astype(np.int32), end.astype(np.int32)], _STRING_NAMES)
+
+
+def later_strings(found: DataFrame, r: Repeats) -> DataFrame:
+    """What later_spans gives, without grouping segments: no task holds more than a block of them, and a string leaves each block once."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                rows.append(row)
+                size += len(row[3])
+                if size >= r.block:
+                    yield from _sent_strings(rows, r)
+                    rows, size = [], 0
+        yield from _sent_strings(rows, r)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: tuple | None = None  # hash and least place of the string before
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            gone, a, b, doc, tie, begin = (c.to_numpy(zero_copy_only=False) for c in batch.columns[:6])
+            place = np.empty(len(a), _PLACE)
+            place["doc"], place["tie"], place["at"] = doc, tie, begin
+            new = np.ones(len(a), bool)
+            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+            new[0] = last is None or last[0] != (a[0], b[0])
+            heads = np.maximum.accumulate(np.where(new, np.arange(len(a)), -1))
+            least = place[np.maximum(heads, 0)]
+            if last is not None:
+                least[heads < 0] = last[1]
+            last = ((a[-1], b[-1]), least[-1])
+            yield pa.RecordBatch.from_arrays(batch.columns[3:], _STRING_NAMES[3:]).filter(pa.array(gone | (place != least)))
+
+    sent = found.select("doc", "tie", "begin", "bytes").mapInArrow(send, _STRING)
+    dealt = sent.repartition("a", "b").sortWithinPartitions("gone", "a", "b", "doc", "tie", "begin")
+    return dealt.mapInArrow(run, "doc long, tie int, begin int, end int")
+
+
 def later_spans(found: DataFrame, r: Repeats) -> DataFrame:
-    """doc, tie, begin, end of strings that stand earlier in a segment of the same key."""
+    """doc, tie, begin, end of strings that stand earlier in a segment of the same key.
+
+    found is read more than once. Equal strings have the same key, so each key goes one way or the other whole.
+    """
+    large = materialise(found.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > r.group).select("key"), "suffix-large")
+    if large.isEmpty():
+        return _grouped_spans(found, r)
+    # Each of these keys has a block of segments at least, so they are few.
+    keys = F.broadcast(large)
+    return _grouped_spans(found.join(keys, "key", "left_anti"), r).unionByName(later_strings(found.join(keys, "key", "left_semi"), r))
+
+
+def _grouped_spans(found: DataFrame, r: Repeats) -> DataFrame:
+    """What later_spans gives, for keys that have no more segments than a block holds."""
 
     def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         """Segments in whole groups of two or more, about a block at a time."""

@@ -92,3 +92,20 @@ def test_texts_without_their_repeats(docs, clashing):
             if r["text"] != old["text"]:
                 assert len(r["text"]) < len(old["text"]) and r["n_chars"] == len(r["text"])
     assert [r["text"] for r in rows if r["doc_id"] == 4] == ["", "", ""]
+
+
+def test_a_short_passage_in_many_texts_is_not_one_block(spark, monkeypatch):
+    """One passage in a third of the documents, each time amid other text: no task holds its segments as one group."""
+    r = sd.Repeats(block=3000)
+    whole = sd._later_strings
+
+    def bounded(rows, r):
+        assert sum(len(x[3]) for x in rows) <= 2 * r.block
+        return whole(rows, r)
+
+    monkeypatch.setattr(sd, "_later_strings", bounded)
+    for n in (70, 99, 120, 170):
+        footer = prose(5, 60)[:n]
+        rows = [(i, prose(100 + i, 30) + (footer + prose(900 + i, 30) if i % 3 == 0 else "")) for i in range(300)]
+        frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+        assert report(frame, r) == brute(rows, r.length)
