@@ -3,7 +3,7 @@
 A token is a lower-case word; its input joins a word part (a hashed embedding) and a character part (the mean of
 hashed embeddings of its trigrams and its first and last five characters, and the highest log-odds of one of them). Two gated recurrent passes, one in each direction, read a
 window of words; attention pools their states into a logit. All overlapping windows of a text are scored, and
-the text's logit is the highest, scaled to a probability.
+the text's logit is the highest, scaled to a probability. A passage of up to window - step + 1 words lies whole in some window.
 
 Training: on the driver, on a bounded sample, at most `max_docs` labelled texts of each class (those with the
 smallest hash of doc_id) of at most `max_chars` characters. The first word dimension starts as the word's smoothed
@@ -40,11 +40,11 @@ class Shape:
     hidden: int = 12
     attention: int = 8
     window: int = 32
-    step: int = 24
+    step: int = 16
     max_docs: int = 1200
     max_chars: int = 20_000
     epochs: int = 6
-    texts_a_step: int = 24
+    texts_a_step: int = 16
     learned_windows: int = 3
     rate: float = 0.01
     seed: int = 11

@@ -55,6 +55,13 @@ def test_windows_overlap_and_cover():
         assert (np.diff(at) == SMALL.step).all() and (len(at) == 1 or at[-1] < n)
 
 
+def test_a_passage_of_half_a_window_lies_whole_in_one():
+    s = tx.Shape()
+    for n in (17, 33, 60, 300):
+        at = tx.windows(n, s)
+        assert all(any(a <= p and p + 17 <= a + s.window for a in at) for p in range(n - 16))
+
+
 def test_learns_and_finds_the_word_anywhere():
     texts, labels = sample(300, 1)
     net = tx.train(texts, labels, SMALL)
