@@ -7,6 +7,7 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from revisit.llm import simhash as sh
+from tests.llm.conftest import prose
 
 
 def edited(rows):
@@ -74,6 +75,30 @@ def test_links_count_texts(spark):
     assert got == {"t1": (1, 3), "t2": (3, 2), "t3": (4, 2), "t4": (5, 1), "t5": (6, 0)}
 
 
+def test_all_pairs_within_the_radius_of_edits(spark):
+    rng, prints = random.Random(6), set()
+    for _ in range(40):
+        base = rng.getrandbits(128)
+        prints |= {base} | {base ^ sum(1 << i for i in rng.sample(range(128), n)) for n in (1, 6, 9, 12, 13)}
+    signed = lambda x: x - 2**64 if x >> 63 else x
+    frame = spark.createDataFrame([(signed(x >> 64), signed(x & (2**64 - 1))) for x in prints], "high long, low long")
+    got = [frozenset((r[a] % 2**64) << 64 | r[b] % 2**64 for a, b in (("a_high", "a_low"), ("b_high", "b_low"))) for r in sh.close_pairs(frame, sh.EDITED).collect()]
+    want = {frozenset(p) for p in combinations(prints, 2) if (p[0] ^ p[1]).bit_count() <= 12}
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_texts_with_one_changed_word_are_linked(spark):
+    rng, rows = random.Random(8), []
+    for i in range(60):
+        words = prose(3000 + i, [150, 300, 1000][i % 3]).split(" ")
+        near = list(words)
+        near[rng.randrange(len(near))] = "changed"
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(near))]
+    got = sh.edit_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    linked = {r["doc_id"] for r in got if r["n_links"] == 1}
+    assert len(got) == 120 and len(linked) >= 0.9 * 120 and all(r["n_links"] <= 1 for r in got)
+
+
 def test_no_python_in_the_plan(docs):
     plan = sh.edit_report(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
