@@ -179,9 +179,9 @@ def prefix_pairs(open_: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
             rows, hashes, weights = (c.to_pylist() for c in batch.columns)
             for lo in range(0, len(rows), 256):
                 some = [np.frombuffer(x, "<u8") for x in hashes[lo : lo + 256]]
-                # A weight of w counts as w elements.
+                # A weight of w counts as w elements, numbered alike in all texts.
                 times = [np.frombuffer(w, "<f4").astype(np.int64) if w else np.ones(len(x), np.int64) for x, w in zip(some, weights[lo : lo + 256])]
-                some = [np.repeat(x, t) if (t == 1).all() else mix(np.repeat(x, t) ^ (np.arange(t.sum()) - np.repeat(np.cumsum(t) - t, t)).astype(np.uint64)) for x, t in zip(some, times)]
+                some = [x if near.weights == "set" else mix(np.repeat(x, t) ^ (np.arange(t.sum()) - np.repeat(np.cumsum(t) - t, t)).astype(np.uint64)) for x, t in zip(some, times)]
                 row = np.repeat(np.array(rows[lo : lo + 256], np.int64), [len(x) for x in some])
                 yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(np.concatenate(some).view(np.int64))], ["row", "hash"])
 

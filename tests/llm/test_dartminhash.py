@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -122,3 +122,21 @@ def test_merged_components(spark):
     frame = lambda edges: spark.createDataFrame(edges, "a long, b long")
     got = {r["node"]: r["component"] for r in dm.merged(dm.components(frame(first)), frame(more)).collect()}
     assert got == {r["node"]: r["component"] for r in dm.components(frame(first + more)).collect()}
+
+
+def test_the_filter_with_counts_keeps_texts_with_and_without_repeats(spark):
+    rows = []
+    for s in range(4):
+        base = prose(700 + s, 80)
+        rows += [base, base + " " + " ".join(base.split()[:8]), base + " one more", base + " " + " ".join(base.split()[:6] * 2), prose(800 + s, 40)]
+    runs = []
+    for t in rows:
+        w = t.split()
+        runs.append(Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)))
+    assert {max(c.values()) > 1 for c in runs} == {True, False}
+    want = {(i, j) for j in range(len(rows)) for i in range(j) if sum((runs[i] & runs[j]).values()) >= 0.8 * sum((runs[i] | runs[j]).values())}
+    near = dm.Near(weights="count")
+    sets = dm.element_sets(spark.createDataFrame(list(enumerate(rows)), "row long, text string"), near).cache()
+    pairs = dm.prefix_pairs(sets.selectExpr("row as class_row", "row as component"), sets, near)
+    got = {(r["a"], r["b"]) for r in dm.verified(pairs, sets, near).collect()}
+    assert len(want) >= 12 and got == want
