@@ -352,9 +352,11 @@ def load_summary(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def findings_text(findings: DataFrame, limit: int = 100) -> list[str]:
-    """Readable lines for a bounded number of findings."""
+    """Readable lines for a bounded number of findings; a last one says how many more there are."""
     shown = findings.orderBy("dataset", "name", F.desc("findings")).limit(limit).collect()
-    return [
+    lines = [
         f"{r.dataset}: {r.name} = {r.findings}" + (f" ({r.detail})" if r.detail is not None else "")
         for r in shown
     ]
+    more = findings.count() - limit if len(shown) == limit else 0
+    return lines + [f"{more} more findings"] if more > 0 else lines

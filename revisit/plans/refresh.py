@@ -24,8 +24,8 @@ from revisit.sources import files, reports, store
 class GateError(RuntimeError):
     """The quality gate found errors; the report was written, nothing was published."""
 
-    def __init__(self, problems: list[str], report: dict):
-        super().__init__("; ".join(problems))
+    def __init__(self, problems: list[str], report: dict, findings: str):
+        super().__init__("; ".join([*problems, f"all findings: {findings}"]))
         self.problems = problems
         self.report = report
 
@@ -104,7 +104,7 @@ def _refresh(spark: SparkSession, config: RefreshConfig, version: str, scratch:
     )
     problems = quality.findings_text(quality.failed(findings))
     if problems:
-        raise GateError(problems, report)
+        raise GateError(problems, report, place("findings"))
     store.check_load(stored, handed, settings)
     quality.load_summary(stored).write.mode("error").parquet(place("load_summary"))
 

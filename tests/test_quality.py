@@ -137,3 +137,11 @@ def test_rows_must_reconcile_and_keys_be_unique(spark):
     good = tables(spark)
     doubled = {**good, "clients": good["clients"].union(good["clients"])}
     assert broken(doubled, {t: 1 for t in good}) == {("clients", "client_key_unique"): 1, ("clients", "row_count"): 1}
+
+
+def test_findings_beyond_the_limit_are_counted(spark):
+    rows = [("sales", "file_without_header", 1, f"f{i}") for i in range(105)] + [("visits", "late", 2, None)]
+    found_ = spark.createDataFrame(rows, "dataset string, name string, findings long, detail string")
+    lines = quality.findings_text(found_)
+    assert len(lines) == 101 and lines[-1] == "6 more findings"
+    assert len(quality.findings_text(found_, 106)) == 106

@@ -150,6 +150,11 @@ def test_gate_keeps_the_published_version(spark, report_paths, run, tmp_path):
     assert store.current_version(spark, root) == before.version
 
 
+def test_gate_error_names_all_findings():
+    error = GateError(["sales: late = 1", "6 more findings"], {}, "/store/v1/findings")
+    assert str(error) == "sales: late = 1; 6 more findings; all findings: /store/v1/findings"
+
+
 def test_load_checks_stop_the_publication(spark, run, tmp_path):
     published, result = run
     root = str(tmp_path / "other")
