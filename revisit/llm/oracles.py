@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from revisit.llm import divergence, mixing
+from revisit.llm import divergence, mixing, phrases
 from revisit.llm.common import CHARACTER_STEPS
 
 ORACLES: dict[str, str] = {}
@@ -97,3 +97,38 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(chars)::BIGINT AS formatted_chars
 FROM sized GROUP BY conv_id"""
+
+
+def _collocations(m: phrases.Mining) -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    grams = "\n  UNION ALL ".join(
+        f"SELECT lang, {k} AS k, array_to_string(w[i:i + {k - 1}], ' ') AS phrase FROM (SELECT lang, w, unnest(range(1, len(w) + 2 - {k})) AS i FROM pieces)" for k in range(1, m.longest + 1)
+    )
+    return f"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+grams AS (
+  {grams}),
+counted AS (SELECT lang, k, phrase, count(*)::HUGEINT AS f FROM grams GROUP BY ALL),
+sizes AS (SELECT lang, sum(f)::HUGEINT AS n FROM counted WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT * FROM counted WHERE k > 1 AND f >= {m.least}),
+maxima AS (
+  SELECT lang, phrase, max(f) AS most FROM (
+    SELECT lang, array_to_string(string_split(phrase, ' ')[i:j], ' ') AS phrase, f
+    FROM (SELECT *, unnest(range(1, k + 1)) AS i FROM candidates), range(1, {m.longest + 1}) AS r(j) WHERE j > i AND j <= k AND j - i + 1 < k)
+  GROUP BY ALL),
+kept AS (SELECT c.* FROM candidates c LEFT JOIN maxima USING (lang, phrase) WHERE most IS NULL OR 100 * most < {m.subsumed} * f),
+cuts AS (
+  SELECT lang, phrase, f, cut, array_to_string(string_split(phrase, ' ')[1:cut], ' ') AS a1, array_to_string(string_split(phrase, ' ')[cut + 1:k], ' ') AS a2
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM kept)),
+scored AS (
+  SELECT c.lang, c.phrase, c.f AS a, x.f AS l, y.f AS r, ({m.scale} * c.f) // (x.f + y.f) AS score, cut
+  FROM cuts c JOIN counted x ON x.lang = c.lang AND x.phrase = a1 JOIN counted y ON y.lang = c.lang AND y.phrase = a2),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest JOIN sizes USING (lang))
+WHERE rank <= {m.top}"""
+
+
+ORACLES["op11_stripe_collocations"] = _collocations(phrases.Mining())

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from revisit.llm import chat, dartminhash, divergence, mixing, packing, rule_ensemble, simhash, suffix_dedup, token_planes, toxicity
+from revisit.llm import chat, dartminhash, divergence, mixing, packing, phrases, rule_ensemble, simhash, suffix_dedup, token_planes, toxicity
 from revisit.llm.common import materialise, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,3 +91,8 @@ def op9_low_discrepancy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_two_stage_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op11_stripe_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
