@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from revisit.llm import divergence, mixing, phrases
+from revisit.llm import divergence, hard_negatives, line_index, mixing, phrases
 from revisit.llm.common import CHARACTER_STEPS
 
 ORACLES: dict[str, str] = {}
@@ -132,3 +132,43 @@ WHERE rank <= {m.top}"""
 
 
 ORACLES["op11_stripe_collocations"] = _collocations(phrases.Mining())
+
+
+def _hard_negatives(m: hard_negatives.Mining) -> str:
+    return f"""
+WITH vectors AS (
+  SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor({m.scale} * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.row AS anchor, a.vec_id AS anchor_id, b.row, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM vectors a JOIN vectors b ON a.vec_id % 50 = 0 AND a.row <> b.row),
+positives AS (
+  SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST, row) <= {m.positives}),
+found AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor, p.row ORDER BY n.score DESC, n.vec_id NULLS LAST, n.row) AS rank
+  FROM positives p JOIN scored n ON n.anchor = p.anchor AND NOT n.same AND {m.low} * p.score <= 100 * n.score AND 100 * n.score <= {m.high} * p.score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM found WHERE rank <= {m.negatives}"""
+
+
+ORACLES["op12_segment_hard_negatives"] = _hard_negatives(hard_negatives.Mining())
+
+
+def _lines(r: line_index.Rules) -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+WITH texts AS (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+lines AS (
+  SELECT row, doc_id, i, line, translate(regexp_replace(line, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g'), '{upper}', '{upper.lower()}') AS key
+  FROM (SELECT row, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM texts)),
+repeated AS (
+  SELECT key, max(doc_id) AS largest FROM lines WHERE length(key) >= {r.least} GROUP BY key HAVING count(DISTINCT row) >= {r.documents}),
+judged AS (
+  SELECT row, lines.doc_id, i, line, repeated.key IS NOT NULL AND lines.doc_id IS DISTINCT FROM largest AS dropped FROM lines LEFT JOIN repeated USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY row"""
+
+
+ORACLES["op13_cuckoo_line_dedup"] = _lines(line_index.Rules())

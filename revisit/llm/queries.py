@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from revisit.llm import chat, dartminhash, divergence, mixing, packing, phrases, rule_ensemble, simhash, suffix_dedup, token_planes, toxicity
+from revisit.llm import chat, dartminhash, divergence, hard_negatives, line_index, mixing, packing, phrases, rule_ensemble, simhash, suffix_dedup, token_planes, toxicity
 from revisit.llm.common import materialise, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,3 +96,15 @@ def op10_two_stage_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_stripe_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
+@query
+def op12_segment_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", moved), lambda i: i % 50 == 0)
+
+
+@query
+def op13_cuckoo_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_index.line_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
