@@ -123,6 +123,11 @@ def parse_whole_number(value: Column) -> Column:
     return F.when(number == F.floor(number), number.try_cast("long"))
 
 
+def rejected(text: Column, value: Column) -> Column:
+    """Whether a cell has a text that could not be read as a value."""
+    return text.isNotNull() & (strip(text) != "") & value.isNull()
+
+
 def snake_case(value: Column) -> Column:
     """Report header text as a column name."""
     spelled = F.regexp_replace(F.regexp_replace(strip(value), "&", " and "), "[/-]", " ")

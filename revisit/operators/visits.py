@@ -8,12 +8,9 @@ from pyspark.sql import functions as F
 from revisit.config import Settings
 from revisit.functions.calendar import flag, month_of
 from revisit.operators.ordering import number_rows
+from revisit.schemas import APPOINTMENTS
 
-PASSED_THROUGH = (
-    "main_category", "service", "staffer", "service_value", "addons_value", "revenue_net",
-    "discount", "tax", "tip_amount", "total_revenue", "status", "service_length_minutes",
-    "client_key", "client_match_status",
-)
+PASSED_THROUGH = [c for c in APPOINTMENTS.fieldNames() if c not in ("booking_id", "appointment_datetime")]
 
 
 def analysis_appointments(appointments: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -55,9 +52,12 @@ def visit_days(analysis: DataFrame, settings: Settings = Settings()) -> DataFram
 
 
 def client_completed_visits(
-    analysis: DataFrame, clients: DataFrame, settings: Settings = Settings()
+    analysis: DataFrame, clients: DataFrame, settings: Settings = Settings(), days: DataFrame | None = None
 ) -> DataFrame:
-    """Completed visits in sequence per client, with first, repeat and acquisition flags."""
+    """Completed visits in sequence per client, with first, repeat and acquisition flags.
+
+    `days` may be stored visit days, from which the visits per client are summed.
+    """
     visits = linked_completed(analysis, settings).select(
         "booking_id", "appointment_datetime", "appointment_date", "appointment_month", "service",
         "service_value", "total_revenue", "client_key", "client_match_status",
@@ -71,6 +71,7 @@ def client_completed_visits(
         first="observed_first_completed_visit",
         key_attributes=clients.select("client_key", F.col("first_visit").alias("source_first_visit")),
         settings=settings,
+        counted=None if days is None else days.groupBy("client_key").agg(F.sum("visits").alias("_rows")),
     )
     is_first = F.col("observed_visit_number") == 1
     known_before = F.to_date("source_first_visit") < F.lit(settings.reporting_start).cast("date")

@@ -9,6 +9,12 @@ from revisit import schemas
 from revisit.config import Settings
 from revisit.operators import monthly, presentation, retention, visits
 
+#: Session setting with the names of the views that were registered here.
+OWN_VIEWS = "revisit.views"
+VIEWS = (
+    "analysis_appointments", "visit_days", "client_completed_visits", "monthly_performance", "monthly_active_clients",
+    "client_retention", "client_cohorts", "client_visit_intervals", "repeat_cadence_summary", "service_monthly",
+)
 GOLD_VIEWS = ("monthly_performance", "monthly_active_clients", "client_cohorts", "repeat_cadence_summary")
 
 
@@ -27,7 +33,7 @@ def views(
     definitions = {
         "analysis_appointments": lambda: analysis,
         "visit_days": lambda: days,
-        "client_completed_visits": lambda: visits.client_completed_visits(analysis, clients, settings),
+        "client_completed_visits": lambda: visits.client_completed_visits(analysis, clients, settings, days),
         "monthly_performance": lambda: monthly.monthly_performance(analysis, clients, settings, days),
         "monthly_active_clients": lambda: monthly.active_clients(analysis, settings, days),
         "client_retention": lambda: kept,
@@ -36,7 +42,11 @@ def views(
         "repeat_cadence_summary": lambda: retention.repeat_cadence(intervals, settings),
         "service_monthly": lambda: monthly.service_monthly(analysis, settings),
     }
-    return {name: definitions[name]() for name in names or definitions}
+    return {name: definitions[name]() for name in names or VIEWS}
+
+
+class ViewExists(RuntimeError):
+    """A name is taken by a view that this module did not register; nothing was registered."""
 
 
 def register_views(
@@ -45,16 +55,27 @@ def register_views(
     settings: Settings = Settings(),
     days: DataFrame | None = None,
     names: tuple[str, ...] | None = None,
+    prefix: str = "",
 ) -> list[str]:
-    """Make the views available to SQL under their names."""
-    named = views(appointments, clients, settings, days, names)
+    """Make the views, by default all ten, available to SQL under their names after `prefix`.
+
+    Views are plans: nothing is computed until SQL asks for it. A view registered here before is replaced, any
+    other is not: then `ViewExists` names all names that are taken.
+    """
+    spark = appointments.sparkSession
+    named = {prefix + name: df for name, df in views(appointments, clients, settings, days, names).items()}
+    own = set(filter(None, spark.conf.get(OWN_VIEWS, "").split(",")))
+    taken = sorted(name for name in named if name not in own and spark.catalog.tableExists(name))
+    if taken:
+        raise ViewExists(f"not replaced: {', '.join(taken)}")
     for name, df in named.items():
         df.createOrReplaceTempView(name)
+    spark.conf.set(OWN_VIEWS, ",".join(sorted(own | set(named))))
     return list(named)
 
 
-def require_views(spark: SparkSession, names: tuple[str, ...] = GOLD_VIEWS) -> None:
-    missing = sorted(n for n in names if not spark.catalog.tableExists(n))
+def require_views(spark: SparkSession, names: tuple[str, ...] = GOLD_VIEWS, prefix: str = "") -> None:
+    missing = sorted(prefix + n for n in names if not spark.catalog.tableExists(prefix + n))
     if missing:
         raise RuntimeError(f"required views are missing: {missing}")
 

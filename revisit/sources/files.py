@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revisit import schemas
 from revisit.config import Settings
+from revisit.functions.calendar import parse_datetime
+from revisit.functions.text import rejected, strip
+from revisit.sources import records, reports
 from revisit.sources.store import apply_contract
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -17,32 +22,62 @@ CSV = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreT
 
 
 def write_clean_csv(df: DataFrame, path: str) -> None:
-    """Clean table as CSV with header; null is empty. Written in parallel, one file per partition.
+    """Clean table as CSV with header. Written in parallel, one file per partition.
 
-    As usual in CSV, a quote inside a quoted cell is doubled. White space around a text is kept.
+    As usual in CSV, a quote inside a quoted cell is doubled. White space around a text is kept. Null is an
+    empty cell, an empty text a quoted one.
     """
-    options = {"header": True, "timestampNTZFormat": TIME_FORMAT, "emptyValue": "", **CSV}
-    df.write.mode("overwrite").format("csv").options(**options).save(path)
+    df.write.mode("overwrite").format("csv").options(header=True, timestampNTZFormat=TIME_FORMAT, **CSV).save(path)
 
 
-def read_clean_csv(spark: SparkSession, path: str, dataset: str) -> DataFrame:
+@dataclass(frozen=True)
+class CleanCsv:
+    """rows: typed, under the column contract. rejects: column, n_cells that could not be read; a null column
+    counts records with more or fewer cells than their header."""
+
+    rows: DataFrame
+    rejects: DataFrame
+
+
+def scan_clean_csv(
+    spark: SparkSession, path: str, dataset: str, settings: Settings = Settings(), folder: str | None = None
+) -> CleanCsv:
     """Clean CSV under the column contract; identifiers stay text.
 
-    Files may have more columns, in any order: they are read by name as text and cast. A text may
-    hold line breaks, so a file can't be split; tables are read in parallel by file.
+    Files may have more columns, in any order: they are read by name. Cells may hold line breaks, and files
+    stay splittable. A cell that can't be read as its column's type is null and counted; cells that a
+    record lacks are null. A text is an empty text where its cell is quoted, else null.
     """
-    raw = spark.read.options(**CSV).csv(path, header=True, inferSchema=False, multiLine=True)
-    typed = {
-        f.name: (
-            F.to_timestamp_ntz(f.name, F.lit(TIME_FORMAT)) if f.dataType == schemas.MOMENT
-            # Whole numbers may carry a decimal point when the column also has gaps.
-            else F.col(f.name).cast("double").cast(f.dataType) if f.dataType in (schemas.LONG, schemas.INT)
-            else F.col(f.name).cast(f.dataType)
-        )
-        for f in schemas.STORED[dataset]
-        if f.name in raw.columns
-    }
-    return apply_contract(raw.withColumns(typed), dataset)
+    lines = records.stage(reports.read_lines(spark, path), ",", folder).lines
+    first_line = replace(settings, header_row=0)
+    found = records.written(reports.heads(lines, first_line), "heads", folder)
+    headers = found.agg(F.array_distinct(F.flatten(F.collect_set("header")))).first()[0] or []
+    fields = [f for f in schemas.STORED[dataset] if f.name in headers]
+    cells = reports.data_rows(lines, first_line, ",", found, exact=True)
+    raw = reports.pick(cells, [f.name for f in fields], [(F.size("cells") != F.size("header")).alias("_ragged")])
+    typed = {f.name: _typed(F.col(f.name), f.dataType, settings) for f in fields}
+    counts = [F.count_if(rejected(F.col(f.name), typed[f.name])).alias(f.name) for f in fields if f.dataType != schemas.TEXT]
+    items = [F.struct(F.lit(f.name).alias("column"), F.col(f.name).alias("n_cells")) for f in fields if f.dataType != schemas.TEXT]
+    items.append(F.struct(F.lit(None).cast("string").alias("column"), F.col("_ragged").alias("n_cells")))
+    rejects = raw.agg(F.count_if("_ragged").alias("_ragged"), *counts).select(F.inline(F.array(*items)))
+    return CleanCsv(apply_contract(raw.drop("_ragged").withColumns(typed), dataset), rejects)
+
+
+def read_clean_csv(spark: SparkSession, path: str, dataset: str) -> DataFrame:
+    """The rows of `scan_clean_csv`."""
+    return scan_clean_csv(spark, path, dataset).rows
+
+
+def _typed(text: Column, kind: T.DataType, settings: Settings) -> Column:
+    if kind == schemas.MOMENT:
+        return parse_datetime(text, settings.datetime_formats)
+    if kind in (schemas.LONG, schemas.INT):
+        # Whole numbers may carry a decimal point when the column also has gaps; they never pass a double.
+        whole = F.regexp_extract(strip(text), r"^([+-]?\d+)(?:\.0*)?$", 1)
+        return F.nullif(whole, F.lit("")).try_cast(kind)
+    if kind == schemas.DOUBLE:
+        return strip(text).try_cast(kind)
+    return text
 
 
 def write_gold_csv(df: DataFrame, path: str) -> None:

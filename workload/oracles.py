@@ -261,10 +261,18 @@ raw AS (
   FROM said s JOIN appt a ON a.booking_id = CAST(s.o_orderkey AS VARCHAR)
 )"""
 
+
+
+def cents(key: str, factor: int) -> str:
+    return f"({key} * {factor} % 100000) / CAST(100 AS DOUBLE)"
+
+
 ORACLES: dict[str, str] = {
     "analysis_appointments": f"""WITH {APPT}
-SELECT booking_id, moment AS appointment_datetime, d AS appointment_date, month AS appointment_month, service,
-       value AS service_value, status, minutes AS service_length_minutes, client_key,
+SELECT booking_id, moment AS appointment_datetime, d AS appointment_date, month AS appointment_month,
+       NULL::VARCHAR AS main_category, service, NULL::VARCHAR AS staffer, value AS service_value,
+       NULL::DOUBLE AS addons_value, NULL::DOUBLE AS revenue_net, NULL::DOUBLE AS discount, NULL::DOUBLE AS tax,
+       NULL::DOUBLE AS tip_amount, value AS total_revenue, status, minutes AS service_length_minutes, client_key,
        CASE WHEN client_key IS NULL THEN 'unmatched' ELSE 'exact_name' END AS client_match_status,
        CAST(status = 'Completed' AS INTEGER) AS is_completed, CAST(status = 'Cancelled' AS INTEGER) AS is_cancelled,
        CAST(status = 'No-show' AS INTEGER) AS is_no_show
@@ -468,11 +476,16 @@ UNION ALL SELECT 'payment_type', CAST(0 AS BIGINT)""",
 SELECT CASE WHEN n.first_visit IS NOT NULL
             THEN 'client_' || left(sha256(n.name || '|' || strftime(n.first_visit, '%Y-%m-%d')), 16) END AS client_key,
        groups, bookings_count, no_shows_count, n.first_visit, c.last_visit,
+       {cents("c_custkey", 3)} AS bookings_value, {cents("c_custkey", 7)} AS revenue_net,
+       {cents("c_custkey", 11)} AS discount, {cents("c_custkey", 13)} AS tax, {cents("c_custkey", 17)} AS tip_amount,
        CAST(CAST(total_revenue AS DECIMAL(18,2)) AS DOUBLE) AS total_revenue
 FROM named n JOIN cl c ON c.client_key = 'client_' || n.c_custkey""",
     "clean_appointments": f"""WITH {RAW_APPOINTMENTS}, {resolve(EVENT_SOURCE)}
-SELECT booking_id, o_orderdate AS appointment_datetime, 'Hair, face' AS main_category, service,
-       CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS service_value, status, minutes AS service_length_minutes,
+SELECT booking_id, o_orderdate AS appointment_datetime, 'Hair, face' AS main_category, service, 'Ann' AS staffer,
+       CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS service_value,
+       {cents("o_orderkey", 5)} AS addons_value, {cents("o_orderkey", 7)} AS revenue_net,
+       {cents("o_orderkey", 11)} AS discount, {cents("o_orderkey", 13)} AS tax, {cents("o_orderkey", 17)} AS tip_amount,
+       CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS total_revenue, status, minutes AS service_length_minutes,
        k AS client_key, match_status AS client_match_status
 FROM raw JOIN linked_events ON id = o_orderkey""",
     "clean_sales": f"""WITH {NAMED},
@@ -482,10 +495,92 @@ line AS (
   FROM lineitem l JOIN said s ON l_orderkey = s.o_orderkey LEFT JOIN part ON l_partkey = p_partkey
 ), {resolve("SELECT id, client, CAST(coalesce(booked, l_shipdate) AS DATE) AS day FROM line")}
 SELECT CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS checkout_date, CAST(l_orderkey AS VARCHAR) AS transaction_id,
-       l_linestatus AS type, l_returnflag AS category, p_name AS item, l_quantity AS quantity,
+       l_linestatus AS type, l_returnflag AS category, p_name AS item, 'Ann' AS staffer, l_quantity AS quantity,
        CAST(CAST(booked AS DATE) AS TIMESTAMP) AS booking_date,
        CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS service_value,
-       CAST(CAST(l_discount AS DECIMAL(18,2)) AS DOUBLE) AS discount, k AS client_key,
+       {cents("l_orderkey", 5)} AS addons_value, {cents("l_orderkey", 7)} AS revenue_net,
+       CAST(CAST(l_discount AS DECIMAL(18,2)) AS DOUBLE) AS discount,
+       CAST(CAST(l_tax AS DECIMAL(18,2)) AS DOUBLE) AS tax, {cents("l_orderkey", 17)} AS tip_amount,
+       CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS total_revenue, 'Card' AS payment_type,
+       k AS client_key,
        match_status AS client_match_status
 FROM line JOIN linked_events USING (id)""",
 }
+
+ORACLES["sales_line_ids"] = """
+SELECT row_number() OVER (ORDER BY CAST(l_orderkey // 5000 AS VARCHAR), l_orderkey, l_linenumber) AS sales_line_id,
+       CAST(l_orderkey AS VARCHAR) AS transaction_id
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey"""
+
+ORACLES["report_records"] = f"""WITH {RAW_APPOINTMENTS}
+SELECT strftime(o_orderdate, '%-m/%-d/%Y %-I:%M %p') AS date_and_time, booking_id || '.0' AS booking_id,
+       CASE WHEN o_orderkey % 7 = 0 THEN client || chr(10) || 'Émile' ELSE client END AS client,
+       CASE o_orderkey % 5 WHEN 0 THEN 'Hair,' || chr(10) || '"face" ' || o_orderkey
+            WHEN 1 THEN 'a' || chr(10) || chr(10) || ',b"' || o_orderkey || '"' || chr(10) || ','
+            WHEN 2 THEN '5" ' || o_orderkey WHEN 3 THEN '"' ELSE 'Hair' END AS main_category,
+       service, CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS service_value, status,
+       CASE WHEN minutes >= 60 THEN (minutes // 60) || 'h:' || (minutes % 60) || 'min' ELSE minutes || 'min' END
+       || CASE WHEN o_orderkey % 3 = 0 THEN chr(10) || '",x"' ELSE '' END AS service_length,
+       CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS total_revenue
+FROM raw"""
+
+ORACLES["rejected_cells"] = f"""WITH {RAW_APPOINTMENTS}
+{finding("appointments", "warning", "rejected_cells", "count(*)", "'date_and_time'")} FROM raw WHERE o_orderkey % 9 = 0
+UNION ALL {finding("appointments", "warning", "rejected_cells", "count(*)", "'service_value'")} FROM raw WHERE o_orderkey % 8 < 2
+UNION ALL {finding("appointments", "warning", "rejected_cells", "count(*)", "'service_length'")} FROM raw WHERE o_orderkey % 7 = 0"""
+
+ORACLES["clean_csv_round_trip"] = """
+SELECT 'client_' || c_custkey AS client_key,
+       CASE c_custkey % 6 WHEN 0 THEN 'say "' || c_custkey || '", ok'
+            WHEN 1 THEN 'two' || chr(10) || ',"' || c_custkey || '"' || chr(10) || 'lines' || chr(10)
+            WHEN 2 THEN '' WHEN 3 THEN '  ' || c_custkey || ' ' WHEN 4 THEN 'NA' END AS groups,
+       CASE WHEN c_custkey % 10 = 1 THEN 9007199254740993 WHEN c_custkey % 10 NOT IN (0, 2, 4) THEN c_custkey END AS bookings_count,
+       c_custkey % 3 AS no_shows_count,
+       CASE WHEN c_custkey % 4 = 1 THEN TIMESTAMP '2026-02-03' WHEN c_custkey % 4 > 1 THEN TIMESTAMP '2026-02-03 04:05:06' END AS first_visit,
+       NULL::TIMESTAMP AS last_visit, NULL::DOUBLE AS bookings_value, NULL::DOUBLE AS revenue_net, NULL::DOUBLE AS discount,
+       CASE WHEN c_custkey % 5 <> 0 THEN CAST(0.25 AS DOUBLE) END AS tax, NULL::DOUBLE AS tip_amount, c_acctbal AS total_revenue
+FROM customer"""
+
+ORACLES["clean_csv_rejects"] = """
+SELECT 'bookings_count' AS column, count(*) AS n_cells FROM customer WHERE c_custkey % 10 IN (0, 2)
+UNION ALL SELECT 'first_visit', count(*) FROM customer WHERE c_custkey % 4 = 0
+UNION ALL SELECT 'tax', count(*) FROM customer WHERE c_custkey % 5 = 0"""
+
+ORACLES["gate_findings"] = " UNION ALL ".join(
+    f"SELECT * FROM ({ORACLES[f'validation_{name}']}) WHERE kind = 'error' AND findings > 0" for name in ("clients", "appointments", "sales")
+)
+
+VIEW_SQL = {
+    "analysis_appointments": "analysis_appointments", "visit_days": "visit_days", "client_completed_visits": "client_completed_visits",
+    "monthly_performance": "monthly_performance", "monthly_active_clients": "active_clients", "client_retention": "client_retention",
+    "client_cohorts": "client_cohorts", "client_visit_intervals": "visit_intervals", "repeat_cadence_summary": "repeat_cadence",
+    "service_monthly": "service_monthly",
+}
+ORACLES["view_rows"] = " UNION ALL ".join(f"SELECT '{view}' AS name, count(*) AS n_rows FROM ({ORACLES[sql]})" for view, sql in VIEW_SQL.items())
+ORACLES["view_join"] = f"""
+SELECT p.month, booked_service_appointments, returning_clients, active_clients_42d, coalesce(n_visits, 0) AS n_visits
+FROM ({ORACLES["monthly_performance"]}) p JOIN ({ORACLES["active_clients"]}) a ON a.month = p.month
+LEFT JOIN (SELECT appointment_month, count(*) AS n_visits FROM ({ORACLES["client_completed_visits"]})
+           WHERE observed_visit_number = 1 GROUP BY ALL) v ON appointment_month = p.month"""
+
+GOLD = {
+    "business_growth": ("monthly_performance", "month", (
+        "booked_service_appointments", "completed_service_appointments", "cancelled_service_appointments", "no_show_service_appointments",
+        "unique_completed_clients", "observed_new_clients", "returning_clients", "completion_rate", "cancellation_rate", "no_show_rate",
+        "completed_service_minutes", "completed_service_value", "is_partial_month"), ("intervention_period",), 10),
+    "active_clients": ("active_clients", "month", ("active_clients_42d", "active_clients_90d", "is_partial_month"), ("month_end", "intervention_period"), 2),
+    "client_cohorts": ("client_cohorts", "cohort_month", (
+        "acquired_clients", "clients_ever_repeated_observed", "observed_repeat_rate", "clients_eligible_42d", "clients_repeated_42d",
+        "repeat_rate_42d", "clients_eligible_90d", "clients_repeated_90d", "repeat_rate_90d", "avg_days_to_second_visit", "is_partial_month"),
+        ("intervention_period",), 2),
+    "repeat_cadence": ("repeat_cadence", "cadence_band", ("return_intervals", "pct_of_return_intervals"), (), 1),
+}
+ORACLES["gold_export"] = " UNION ALL ".join(
+    sql
+    for dataset, (source, item, numbers, texts, defined) in GOLD.items()
+    for sql in (
+        *[f"SELECT '{dataset}' AS dataset, {item} AS item, '{f}' AS field, CAST({f} AS DOUBLE) AS number, NULL::VARCHAR AS text FROM ({ORACLES[source]})" for f in numbers],
+        *[f"SELECT '{dataset}', {item}, '{f}', NULL, CAST({f} AS VARCHAR) FROM ({ORACLES[source]})" for f in texts],
+        f"SELECT '{dataset}', NULL, 'definitions', {defined}::DOUBLE, NULL",
+    )
+)

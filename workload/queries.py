@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revisit import schemas
 from revisit.functions import calendar, text
 from revisit.operators import identity, monthly, presentation, quality, retention, visits
-from revisit.plans import cleaning
+from revisit.plans import cleaning, gold
 from revisit.session import shared_dir
-from revisit.sources import reports
+from revisit.sources import files, reports
 from workload import dumps, inputs
 from workload.inputs import SETTINGS, table
 
@@ -42,11 +44,7 @@ def _retention(spark, sf_dir):
 
 @query
 def analysis_appointments(spark, sf_dir):
-    return _analysis(spark, sf_dir).select(
-        "booking_id", "appointment_datetime", "appointment_date", "appointment_month", "service", "service_value",
-        "status", "service_length_minutes", "client_key", "client_match_status", "is_completed", "is_cancelled",
-        "is_no_show",
-    )
+    return _analysis(spark, sf_dir)
 
 
 @query
@@ -391,7 +389,7 @@ def report_column_counts(spark, sf_dir):
 def _landed(spark, dump: str, dataset: str) -> DataFrame:
     path = dump.replace("/reports/", "/landed/")
     raw = reports.land(reports.stage_lines(reports.read_lines(spark, dump)), schemas.report_columns(dataset), path)
-    return raw.where(~F.col("is_total"))
+    return raw.rows.where(~F.col("is_total"))
 
 
 def _client_report(spark, sf_dir):
@@ -400,27 +398,144 @@ def _client_report(spark, sf_dir):
 
 @query
 def clean_clients(spark, sf_dir):
-    clients, _ = _client_report(spark, sf_dir)
-    return clients.select(
-        "client_key", "groups", "bookings_count", "no_shows_count", "first_visit", "last_visit", "total_revenue"
-    )
+    return _client_report(spark, sf_dir)[0]
 
 
 @query
 def clean_appointments(spark, sf_dir):
     _, reference = _client_report(spark, sf_dir)
     raw = _landed(spark, dumps.appointment_dump(spark, sf_dir), "appointments")
-    return cleaning.clean_appointments(raw, reference).select(
-        "booking_id", "appointment_datetime", "main_category", "service", "service_value", "status",
-        "service_length_minutes", "client_key", "client_match_status",
-    )
+    return cleaning.clean_appointments(raw, reference)
 
 
 @query
 def clean_sales(spark, sf_dir):
     _, reference = _client_report(spark, sf_dir)
     raw = _landed(spark, dumps.sales_dump(spark, sf_dir), "sales")
-    return cleaning.clean_sales(raw, reference).select(
-        "checkout_date", "transaction_id", "type", "category", "item", "quantity", "booking_date", "service_value",
-        "discount", "client_key", "client_match_status",
+    return cleaning.clean_sales(raw, reference)
+
+
+@query
+def sales_line_ids(spark, sf_dir):
+    """Dense numbers of sales lines in load order."""
+    raw = cleaning.numbered_sales(_landed(spark, dumps.sales_dump(spark, sf_dir), "sales"))
+    return raw.select("sales_line_id", "transaction_id")
+
+
+@query
+def report_records(spark, sf_dir):
+    """Report rows whose cells hold line breaks, quotes and delimiters."""
+    lines = reports.stage_lines(reports.read_lines(spark, dumps.record_dump(spark, sf_dir)))
+    return reports.pick(reports.report_rows(lines), RAW_APPOINTMENT + ["total_revenue"])
+
+
+@query
+def rejected_cells(spark, sf_dir):
+    """Cells of dirty reports that could not be read, by column."""
+    dump = dumps.dirty_dump(spark, sf_dir)
+    lines, path = reports.stage_lines(reports.read_lines(spark, dump)), dump.replace("/reports/", "/landed/")
+    landed = reports.land(lines, schemas.report_columns("appointments"), path, counters=cleaning.reject_counters("appointments"))
+    return cleaning.rejected_cells(spark, {"appointments": landed.counts})
+
+
+# --------------------------------------------------------------------- exchange
+
+
+def _scratch(spark, name: str) -> str:
+    return f"{shared_dir(spark)}/exchange/{name}-{uuid.uuid4().hex}"
+
+
+def _hard_text(key) -> Column:
+    text_key = key.cast("string")
+    return (
+        F.when(key % 6 == 0, F.concat(F.lit('say "'), text_key, F.lit('", ok')))
+        .when(key % 6 == 1, F.concat(F.lit('two\n,"'), text_key, F.lit('"\nlines\n')))
+        .when(key % 6 == 2, F.lit(""))
+        .when(key % 6 == 3, F.concat(F.lit("  "), text_key, F.lit(" ")))
+        .when(key % 6 == 4, F.lit("NA"))
     )
+
+
+def _exchanged(spark, sf_dir) -> files.CleanCsv:
+    """Clients written as text, some cells of which are no numbers or times, and scanned."""
+    key = F.col("c_custkey")
+    count = (
+        F.when(key % 10 == 0, F.lit("abc")).when(key % 10 == 1, F.lit("9007199254740993")).when(key % 10 == 2, F.lit("3.5"))
+        .when(key % 10 == 3, F.concat(key.cast("string"), F.lit(".0"))).when(key % 10 == 4, F.lit("")).otherwise(key.cast("string"))
+    )
+    day = F.when(key % 4 == 0, F.lit("2026-02-30")).when(key % 4 == 1, F.lit("2026-02-03")).otherwise("2026-02-03 04:05:06")
+    text = {f.name: F.lit(None).cast("string") for f in schemas.CLIENTS}
+    text |= {
+        "client_key": F.concat(F.lit("client_"), key.cast("string")), "groups": _hard_text(key), "bookings_count": count,
+        "no_shows_count": (key % 3).cast("string"), "first_visit": day, "total_revenue": F.col("c_acctbal").cast("string"),
+        "tax": F.when(key % 5 == 0, F.lit("1,5")).otherwise("0.25"),
+    }
+    path = _scratch(spark, "clients")
+    files.write_clean_csv(table(spark, sf_dir, "customer").select(*[c.alias(n) for n, c in reversed(text.items())]), path)
+    return files.scan_clean_csv(spark, path, "clients")
+
+
+@query
+def clean_csv_round_trip(spark, sf_dir):
+    return _exchanged(spark, sf_dir).rows
+
+
+@query
+def clean_csv_rejects(spark, sf_dir):
+    return _exchanged(spark, sf_dir).rejects.where("n_cells > 0")
+
+
+@query
+def gate_findings(spark, sf_dir):
+    """The errors that close the gate, on rows that break several rules."""
+    found = validation_clients(spark, sf_dir).unionByName(validation_appointments(spark, sf_dir)).unionByName(validation_sales(spark, sf_dir))
+    return quality.failed(found)
+
+
+def _stored_views(spark, sf_dir) -> str:
+    """All views over the given tables, under a prefix of their own."""
+    prefix = "workload_"
+    gold.register_views(inputs.appointments(spark, sf_dir), inputs.clients(spark, sf_dir), SETTINGS, prefix=prefix)
+    return prefix
+
+
+@query
+def view_rows(spark, sf_dir):
+    """Rows of each of the ten views, by SQL."""
+    prefix = _stored_views(spark, sf_dir)
+    return spark.sql(" UNION ALL ".join(f"SELECT '{name}' AS name, count(*) AS n_rows FROM {prefix}{name}" for name in gold.VIEWS))
+
+
+@query
+def view_join(spark, sf_dir):
+    """Monthly figures of two views, joined by SQL."""
+    prefix = _stored_views(spark, sf_dir)
+    return spark.sql(
+        f"""SELECT p.month, booked_service_appointments, returning_clients, active_clients_42d, coalesce(n_visits, 0) AS n_visits
+        FROM {prefix}monthly_performance p JOIN {prefix}monthly_active_clients a ON a.month = p.month
+        LEFT JOIN (SELECT appointment_month, count(*) AS n_visits FROM {prefix}client_completed_visits
+                   WHERE is_first_observed_completed_visit = 1 GROUP BY appointment_month) v ON appointment_month = p.month"""
+    )
+
+
+@query
+def gold_export(spark, sf_dir):
+    """The published extracts and their dictionary, written as CSV and read back: one row a figure."""
+    tables = gold.gold_tables(inputs.appointments(spark, sf_dir), inputs.clients(spark, sf_dir), SETTINGS)
+    out = []
+    for name, df in tables.items():
+        path = _scratch(spark, name)
+        files.write_gold_csv(df.orderBy(df.columns[0]), path)
+        back, item = files.read_gold_csv(spark, path, name, SETTINGS), df.columns[0]
+        figures = [
+            F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("number"), F.lit(None).cast("string").alias("text"))
+            if kind in ("bigint", "int", "double")
+            else F.struct(F.lit(c).alias("field"), F.lit(None).cast("double").alias("number"), F.col(c).cast("string").alias("text"))
+            for c, kind in df.dtypes[1:]
+        ]
+        out.append(back.select(F.lit(name).alias("dataset"), F.col(item).alias("item"), F.inline(F.array(*figures))))
+    path = _scratch(spark, "data_dictionary")
+    files.write_gold_csv(files.data_dictionary(spark, SETTINGS), path)
+    listed = spark.read.csv(path, header=True).groupBy("dataset").agg(F.count("definition").cast("double").alias("number"))
+    out.append(listed.select("dataset", F.lit(None).cast("string").alias("item"), F.lit("definitions").alias("field"), "number", F.lit(None).cast("string").alias("text")))
+    return functools.reduce(DataFrame.unionByName, out)
