@@ -48,3 +48,44 @@ def test_client_windows_run_on_aggregates(spark, sf_dir):
         windows = [i for i, line in enumerate(lines) if "Window [" in line]
         for i in windows:
             assert any("HashAggregate" in line for line in lines[i:])
+
+
+def executed(df) -> str:
+    """The plan that ran, with what was replaced while it ran."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.split("+- == Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize(("name", "scans"), [("validation_clients", 1), ("validation_sales", 1), ("validation_appointments", 1)])
+def test_a_dataset_is_validated_in_one_scan(spark, sf_dir, name, scans, tmp_path):
+    from revisit.operators import quality
+    from revisit.schemas import STORED
+
+    dataset = name.removeprefix("validation_")
+    schema = STORED[dataset]
+    spark.createDataFrame([(None,) * len(schema)], schema).write.parquet(str(tmp_path / dataset))
+    df = spark.read.parquet(str(tmp_path / dataset))
+    plan = executed(getattr(quality, f"validate_{dataset}")(df))
+    assert plan.count("FileScan parquet") == scans
+
+
+def test_the_load_summary_scans_each_table_once(spark, tmp_path):
+    from revisit.operators import quality
+    from revisit.schemas import STORED
+
+    tables = {}
+    for name, schema in STORED.items():
+        spark.createDataFrame([(None,) * len(schema)], schema).write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    assert executed(quality.load_summary(tables)).count("FileScan parquet") == 3
+
+
+def test_without_hot_clients_numbering_only_counts_them(spark, sf_dir):
+    """At run time, cuts and starts of hot clients vanish: what is left is the rows, and one count of them."""
+    from revisit.operators import visits
+    from workload import inputs
+
+    base = visits.analysis_appointments(inputs.appointments(spark, sf_dir), inputs.SETTINGS)
+    plan = executed(visits.client_completed_visits(base, inputs.clients(spark, sf_dir), inputs.SETTINGS))
+    assert plan.count("Window [") <= 2 and "RangePartitioning" not in plan
