@@ -3,11 +3,13 @@
 Both supported kinds of tokenizer cut a text at white space, and between a letter and a mark, before they merge
 anything, so the ids of a text are those of its pieces one after the other: pieces are looked up in a bounded
 table and only new ones are given to the tokenizers library. Texts with characters on whose white-space class
-Python and the library may differ are given to the library whole. Special tokens inside texts are ordinary text.
+Python and the library may differ are given to the library whole, as are texts with the string of a special
+token, which the library makes that token, and all texts if the file cuts texts in any other way.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
@@ -46,6 +48,17 @@ def _latin(text: str) -> bool:
     return True
 
 
+#: How the two supported kinds of files cut texts: spaced, and words alone.
+_SPACED_CUTS = (None, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True})
+_WORD_CUTS = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]},
+)
+
+
 class Encoder:
     """Ids of texts. spaced: the tokenizer keeps white space, in front of words.
 
@@ -58,7 +71,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        file = json.loads(self.tokenizer.to_str())
+        self.special = [t["content"] for t in file["added_tokens"]]
+        #: Whether pieces may be encoded one by one.
+        self.by_pieces = (file["normalizer"], file["pre_tokenizer"]) == (_SPACED_CUTS if spaced else _WORD_CUTS)
+        self.by_pieces &= file["model"]["type"] == "BPE" and not any(t["normalized"] or t["lstrip"] or t["rstrip"] for t in file["added_tokens"])
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() < 65536 else np.dtype("<u4")
         self.spaced, self.most, self.longest = spaced, most, longest
         self.model = self.tokenizer.model
@@ -67,14 +84,20 @@ class Encoder:
 
     def _encode(self, keys: list[str]) -> list[bytes]:
         """The library's ids of keys. A run of letters is one piece for it, and can go to its merges at once."""
-        kind, out, rest = "H" if self.dtype.itemsize == 2 else "I", {}, []
+        kind, out, rest, merges = "H" if self.dtype.itemsize == 2 else "I", {}, [], self.model.tokenize
+        before = " " if self.spaced else ""
         for key in keys:
-            word = key[1:] if key[:1] == _BARE else key
-            if word.isalpha() and (word.isascii() or max(word) < "\u0100"):
-                word = " " + word if self.spaced and word is key else word if self.spaced else word.lower()
-                out[key] = array(kind, [x.id for x in self.model.tokenize(word.encode().decode("latin-1").translate(_BYTES))]).tobytes()
+            bare = key[:1] == _BARE
+            word = key[1:] if bare else key
+            if word.isascii() and word.isalpha():
+                # Such letters stand for themselves; only a space is written in another way.
+                said = word.lower() if not self.spaced else word if bare else _BYTES[32] + word
+            elif word.isalpha() and max(word) < "\u0100":
+                said = ((before if not bare else "") + (word if self.spaced else word.lower())).encode().decode("latin-1").translate(_BYTES)
             else:
                 rest.append(key)
+                continue
+            out[key] = array(kind, [x.id for x in merges(said)]).tobytes()
         if rest:
             texts = [x[1:] if x[:1] == _BARE else " " + x if self.spaced else x for x in rest]
             out.update(zip(rest, self._whole(texts)))
@@ -86,6 +109,8 @@ class Encoder:
 
     def pieces(self, text: str) -> list[str]:
         """The keys of a text's pieces."""
+        if not self.by_pieces or any(x in text for x in self.special):
+            return [_BARE + text]
         if _BARE in text or (any(c in text for c in _ODD_LATIN) if _latin(text) else _ODD.search(text)):
             return [_BARE + text]
         if not self.spaced:
@@ -99,6 +124,8 @@ class Encoder:
 
     def _parts(self, key: str) -> list[str]:
         """Keys of the parts of a piece, between which the tokenizer always cuts."""
+        if not self.by_pieces or ("<" in key and any(x in key for x in self.special)):
+            return [key]
         parts = []
         if key[:1] == "\n":
             parts, key = [_BARE + "\n"], _BARE + key[1:]
@@ -111,23 +138,26 @@ class Encoder:
 
     def _learn(self, keys: list[str]) -> dict[str, bytes]:
         """Ids of keys that are not in the newer generation."""
+        old, known = self.old.get, self.known
         out, split, new = {}, {}, {}
         for key in keys:
-            ids = self.old.get(key)
+            ids = old(key)
             if ids is not None:
                 out[key] = ids
-                continue
-            split[key] = parts = self._parts(key)
+            elif key[-1] not in _MARKS and key[0] != "\n":
+                new[key] = None  # a piece of one part
+            else:
+                split[key] = self._parts(key)
+        for parts in split.values():
             for part in parts:
-                if part not in self.known and part not in out:
-                    ids = self.old.get(part)
+                if part not in known and part not in out and part not in new:
+                    ids = old(part)
                     if ids is None:
                         new[part] = None
                     else:
                         out[part] = ids
         if new:
             out.update(zip(new, self._encode(list(new))))
-        known = self.known
         for key, parts in split.items():
             if key not in out:
                 out[key] = b"".join([out[x] if x in out else known[x] for x in parts])

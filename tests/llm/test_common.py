@@ -16,7 +16,6 @@ from revisit.llm.tokens import Encoder
 def pair(request):
     path = public_tokenizers.path(request.param[0])
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
     return Encoder(path, request.param[1], most=2000), plain
 
 
@@ -41,7 +40,6 @@ def test_pieces_of_any_text(text):
 def _load(name, spaced):
     path = public_tokenizers.path(name)
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
     return Encoder(path, spaced), plain
 
 
@@ -68,3 +66,33 @@ def test_a_sliced_array_keeps_its_texts():
     data, offsets = hashing.text_bytes(array.slice(1))
     assert bytes(data) == b"a bc" and offsets.tolist() == [0, 3, 3, 4]
     assert np.diff(hashing.word_hashes(data, offsets)[1]).tolist() == [2, 0, 1]
+
+
+SPECIAL = ["hello <|endoftext|>", "<|endoftext|>", "a<|endoftext|>b <|startoftext|>c", "<|startoftext|> <|endoftext|>.", "<|ENDOFTEXT|> x", "<|endoftext", "\n<|endoftext|>\n", "x <|endoftext|>| y"]
+
+
+def test_strings_of_special_tokens(pair):
+    """They become the tokens, as with the library's defaults."""
+    mine, plain = pair
+    for some in (SPECIAL, SPECIAL[::-1], [" ".join(SPECIAL)] * 2):
+        for text, ids in zip(some, mine.encode(some)):
+            assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_files_that_cut_in_another_way_are_given_whole_texts(tmp_path, texts):
+    import json
+
+    for name, spaced, change in (("byte_bpe_50k.json", True, {"add_prefix_space": True}), ("word_bpe_49k.json", False, None)):
+        file = json.loads(open(public_tokenizers.path(name), encoding="utf-8").read())
+        if change:
+            file["pre_tokenizer"] |= change
+        else:
+            file["normalizer"] = {"type": "Lowercase"}
+        path = str(tmp_path / name)
+        with open(path, "w", encoding="utf-8") as out:
+            json.dump(file, out)
+        mine, plain = Encoder(path, spaced), Tokenizer.from_file(path)
+        assert not mine.by_pieces
+        for text, ids in zip(texts, mine.encode(texts)):
+            assert ids.tolist() == plain.encode(text or "", add_special_tokens=False).ids
+    assert Encoder(public_tokenizers.path("byte_bpe_50k.json"), True).by_pieces and Encoder(public_tokenizers.path("word_bpe_49k.json"), False).by_pieces

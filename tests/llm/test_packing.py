@@ -42,7 +42,6 @@ def test_a_plan_uses_what_is_there(counts):
 
 def check(rows, texts, window):
     plain = Tokenizer.from_file(PATH)
-    plain.encode_special_tokens = True
     ids = {}
     for doc_id, text in texts:
         ids.setdefault(doc_id, []).append(np.array([*plain.encode(text or "", add_special_tokens=False).ids, 1], "<u4"))
