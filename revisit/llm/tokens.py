@@ -89,6 +89,9 @@ class Encoder:
         for key in keys:
             bare = key[:1] == _BARE
             word = key[1:] if bare else key
+            if not self.by_pieces:
+                rest.append(key)
+                continue
             if word.isascii() and word.isalpha():
                 # Such letters stand for themselves; only a space is written in another way.
                 said = word.lower() if not self.spaced else word if bare else _BYTES[32] + word
@@ -144,7 +147,7 @@ class Encoder:
             ids = old(key)
             if ids is not None:
                 out[key] = ids
-            elif key[-1] not in _MARKS and key[0] != "\n":
+            elif key[-1:] not in _MARKS and key[:1] != "\n":
                 new[key] = None  # a piece of one part
             else:
                 split[key] = self._parts(key)
