@@ -1,30 +1,34 @@
-"""SimHash fingerprints of documents, and all pairs of them within a Hamming radius.
+"""SimHash fingerprints of documents, and all of them within a Hamming radius of each.
 
 A text's terms are its runs of `term_words` words (a shorter text is one term); each occurrence votes, so a
 term weighs as often as it stands there. Each bit of a term's hash votes for or against that bit of the
 fingerprint; ties and texts without words give 0 bits. Two 64-bit hashes make a fingerprint of 128 bits.
 
 Search: the bits are cut into `blocks` blocks. Two fingerprints within the radius r differ in at most r
-blocks, so they agree in some choice of blocks - r of them; for each choice, a table of fingerprints keyed by
-those blocks (a permutation that puts them first) is joined with itself. Equal fingerprints are one row in
-the tables, so copies don't meet each other there. A pair is kept at the first choice that shows it: that of the
-first blocks in which it agrees.
-
-One changed word changes `term_words` terms, which flips more bits the shorter the text is: about 3 of 128 in 1,000
-words, 6 in 300, 8 in 150. `EDITED`, which edit_report uses, is set by the distances of such edits (README).
-
-Nulls are empty texts. Repeated rows count as copies. An empty table gives no rows.
+blocks, so they agree in some choice of blocks - r of them; for each choice, there is a table of fingerprints keyed by
+those blocks (a permutation that puts them first). Equal fingerprints are one row in the tables, so copies don't meet
+each other there. Fingerprints that are alone with their key in a table drop out; the others are gathered in chunks of
+bounded size, and chunks of a key meet: each fingerprint gets the number of those near it in the other chunk, so no
+pair becomes a row. A pair counts at the first choice that shows it, that of the first blocks in which it agrees.
+`close_pairs` lists the pairs instead.
+
+One changed word changes `term_words` terms. Single words, each weighing as often as it stands in the text, move least:
+`EDITED`, which edit_report uses, is set by the distances of such edits (README).
+
+Nulls are empty texts. Repeated rows count as copies. Long texts are split into words whole. Ties in doc_id go by text,
+those of many rows without an id by a hash of the text first. Other columns are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from revisit.llm.common import SPACES, WORD_GAP, materialise
+from revisit.llm.common import SPACES, WORD_GAP, let, materialise
 
 BITS = 128
 
@@ -36,8 +40,9 @@ class Search:
     term_words: int = 3
 
 
-#: Finds texts of 100 words and more with one changed word.
-EDITED = Search(radius=12, blocks=14)
+#: Finds texts of 100 words and more with one changed word; 28 tables with keys of 32 bits.
+EDITED = Search(radius=6, blocks=8, term_words=1)
+CHUNK = 1024
 
 
 def _lanes(sums: list[Column], n: Column) -> Column:
@@ -94,29 +99,63 @@ def _masks(blocks: int) -> list[tuple[int, int]]:
     return out
 
 
+def _tables(distinct: DataFrame, search: Search) -> tuple[DataFrame, list[tuple[int, ...]]]:
+    """The rows once for each choice of blocks, with choice, kh, kl (the choice and the bits of its blocks); and the choices."""
+    blocks = _masks(search.blocks)
+    chosen = list(combinations(range(search.blocks), search.blocks - search.radius))
+    choices = [tuple(sum(blocks[i][half] for i in some) for half in (0, 1)) for some in chosen]
+    masks = F.array(*(F.struct(F.lit(i).alias("choice"), F.lit(h).cast("long").alias("h"), F.lit(low).cast("long").alias("l")) for i, (h, low) in enumerate(choices)))
+    keyed = distinct.select("*", F.explode(masks).alias("m"))
+    key = (F.col("m.choice").alias("choice"), F.col("high").bitwiseAND(F.col("m.h")).alias("kh"), F.col("low").bitwiseAND(F.col("m.l")).alias("kl"))
+    return keyed.select(*distinct.columns, *key), chosen
+
+
+def _first_shown(x_high: Column, x_low: Column, choice: Column, chosen: list[tuple[int, ...]], search: Search) -> Column:
+    """Whether a pair within the radius, of which these are the differing bits, is shown by no choice before this one, in which it agrees."""
+    # It is if the pair agrees in no other block before the last of the choice.
+    last = F.element_at(F.array(*(F.lit(some[-1]) for some in chosen)), choice + 1)
+    agrees = [(x_high.bitwiseAND(F.lit(h).cast("long")) == 0) & (x_low.bitwiseAND(F.lit(low).cast("long")) == 0) & (last >= i) for i, (h, low) in enumerate(_masks(search.blocks))]
+    first = sum((x.cast("int") for x in agrees), F.lit(0)) == search.blocks - search.radius
+    return (F.bit_count(x_high) + F.bit_count(x_low) <= search.radius) & first
+
+
 def close_pairs(distinct: DataFrame, search: Search = Search()) -> DataFrame:
     """Each pair of fingerprints within the radius once: a_high, a_low, b_high, b_low.
 
     distinct: high, low, each fingerprint once.
     """
-    blocks = _masks(search.blocks)
-    agreed = search.blocks - search.radius
-    chosen = list(combinations(range(search.blocks), agreed))
-    choices = [tuple(sum(blocks[i][half] for i in some) for half in (0, 1)) for some in chosen]
-    masks = F.array(*(F.struct(F.lit(i).alias("choice"), F.lit(h).cast("long").alias("h"), F.lit(low).cast("long").alias("l")) for i, (h, low) in enumerate(choices)))
-    keyed = distinct.select("high", "low", F.explode(masks).alias("m"))
-    keyed = keyed.select("high", "low", F.col("m.choice").alias("choice"), F.col("high").bitwiseAND(F.col("m.h")).alias("kh"), F.col("low").bitwiseAND(F.col("m.l")).alias("kl"))
+    keyed, chosen = _tables(distinct.select("high", "low"), search)
     a, b = keyed.withColumnsRenamed({"high": "a_high", "low": "a_low"}), keyed.withColumnsRenamed({"high": "b_high", "low": "b_low"})
     x_high, x_low = F.col("a_high").bitwiseXOR(F.col("b_high")), F.col("a_low").bitwiseXOR(F.col("b_low"))
-    # The pair agrees in the chosen blocks; the choice is its first if it agrees in no other one before the last of them.
-    last = F.element_at(F.array(*(F.lit(some[-1]) for some in chosen)), a["choice"] + 1)
-    agrees = [(x_high.bitwiseAND(F.lit(h).cast("long")) == 0) & (x_low.bitwiseAND(F.lit(low).cast("long")) == 0) & (last >= i) for i, (h, low) in enumerate(blocks)]
-    first = sum((x.cast("int") for x in agrees), F.lit(0)) == agreed
     same = (a["choice"] == b["choice"]) & (a["kh"] == b["kh"]) & (a["kl"] == b["kl"])
     ordered = (F.col("a_high") < F.col("b_high")) | ((F.col("a_high") == F.col("b_high")) & (F.col("a_low") < F.col("b_low")))
-    near = F.bit_count(x_high) + F.bit_count(x_low) <= search.radius
     # Exploded tables are larger than Spark guesses: never a broadcast.
-    return a.join(b.hint("merge"), same & ordered & near & first).select("a_high", "a_low", "b_high", "b_low")
+    return a.join(b.hint("merge"), same & ordered & _first_shown(x_high, x_low, a["choice"], chosen, search)).select("a_high", "a_low", "b_high", "b_low")
+
+
+def near_counts(counted: DataFrame, search: Search = Search(), chunk: int = CHUNK) -> DataFrame:
+    """high, low, near: for fingerprints with others within the radius, the sum of their n. counted: high, low (each once), n.
+
+    A key with many fingerprints is cut into chunks by hash; chunks meet, and only counts come out.
+    """
+    key = ["choice", "kh", "kl"]
+    keyed, chosen = _tables(counted.select("high", "low", "n"), search)
+    shared = materialise(keyed.groupBy(*key).agg(F.count("*").alias("size")).filter("size > 1"), "simhash-shared")
+    some = keyed.join(shared, key).withColumn("chunk", F.pmod(F.xxhash64("high", "low"), F.ceil(F.col("size") / chunk)))
+    chunks = materialise(some.groupBy(*key, "chunk").agg(F.collect_list(F.struct("high", "low", "n")).alias("prints")), "simhash-chunks")
+    other = chunks.select(*key, F.col("prints").alias("others"))
+
+    def near(x: Column) -> Column:
+        def add(total: Column, y: Column) -> Column:
+            x_high, x_low = x["high"].bitwiseXOR(y["high"]), x["low"].bitwiseXOR(y["low"])
+            differs = (x_high != 0) | (x_low != 0)
+            close = F.bit_count(x_high) + F.bit_count(x_low) <= search.radius
+            return F.when(differs & close, F.when(_first_shown(x_high, x_low, F.col("choice"), chosen, search), total + y["n"]).otherwise(total)).otherwise(total)
+
+        return F.aggregate("others", F.lit(0).cast("long"), add)
+
+    each = chunks.join(other, key).select(F.explode(F.transform("prints", lambda x: F.struct(x["high"].alias("high"), x["low"].alias("low"), near(x).alias("near")))).alias("x"))
+    return each.select("x.*").filter("near > 0").groupBy("high", "low").agg(F.sum("near").alias("near"))
 
 
 def links(printed: DataFrame, search: Search = Search()) -> DataFrame:
@@ -126,23 +165,29 @@ def links(printed: DataFrame, search: Search = Search()) -> DataFrame:
     """
     texts = printed.groupBy("text_sha256", "high", "low").agg(F.min("doc_id").alias("class_id"))
     counted = materialise(texts.groupBy("high", "low").agg(F.count("*").alias("n")), "simhash-distinct")
-    pairs = materialise(close_pairs(counted.select("high", "low"), search), "simhash-pairs")
-    # Each end of a pair counts the texts at the other.
-    ends = pairs.select(F.explode(F.array(
-        F.struct(F.col("a_high").alias("high"), F.col("a_low").alias("low"), F.col("b_high").alias("oh"), F.col("b_low").alias("ol")),
-        F.struct(F.col("b_high").alias("high"), F.col("b_low").alias("low"), F.col("a_high").alias("oh"), F.col("a_low").alias("ol")),
-    )).alias("e")).select("e.*")
-    others = counted.withColumnsRenamed({"high": "oh", "low": "ol", "n": "there"})
-    near = ends.join(others, ["oh", "ol"]).groupBy("high", "low").agg(F.sum("there").alias("near"))
+    near = near_counts(counted, search)
     counts = counted.join(near, ["high", "low"], "left")
     return texts.join(counts, ["high", "low"]).select("text_sha256", "class_id", (F.col("n") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"))
 
 
-def bucketed(docs: DataFrame, doc_id: str, per_bucket: int) -> DataFrame:
-    """The documents with `bucket`: an ascending function of doc_id, about `per_bucket` documents each if ids are spread evenly."""
-    span = docs.agg(F.min(doc_id).alias("low"), F.max(doc_id).alias("high"), F.count("*").alias("n")).first()
-    low, width = span["low"] or 0, max(1, ((span["high"] or 0) - (span["low"] or 0) + 1) * per_bucket // max(1, span["n"]))
-    return docs.withColumn("bucket", F.coalesce(F.floor((F.col(doc_id) - F.lit(low)) / F.lit(width)).cast("long"), F.lit(-1).cast("long")))
+def bucketed(docs: DataFrame, doc_id: str, per_bucket: int, most: int = 1 << 14) -> DataFrame:
+    """The documents with `bucket`: an ascending function of doc_id, about `per_bucket` documents each, at most `most` buckets.
+
+    Bounds are quantiles of the ids, in two levels, so that a row is compared with few of them; however ids lie,
+    buckets fill evenly. Rows without an id come first, dealt by a hash of their text if they are many.
+    """
+    found = docs.agg(F.count("*").alias("n"), F.count_if(F.col(doc_id).isNull()).alias("nulls")).first()
+    n_buckets = min(most, found["n"] // per_bucket + 1)
+    wide = math.isqrt(n_buckets) + 1
+    shares = [i / (wide * wide) for i in range(1, wide * wide)]
+    bounds = docs.agg(F.percentile_approx(doc_id, shares, 10 * wide * wide).alias("b")).first()["b"] if found["n"] > found["nulls"] else None
+    bounds = bounds or [0] * (wide * wide - 1)
+    upper, lower = bounds[wide - 1 :: wide], [[*bounds[i * wide : i * wide + wide - 1]] for i in range(wide)]
+    below = lambda of: F.size(F.filter(of, lambda b: b <= F.col(doc_id)))
+    longs = lambda some: F.array(*(F.lit(x).cast("long") for x in some)) if some else F.array().cast("array<bigint>")
+    bucket = let(below(longs(upper)), lambda at: at * wide + below(F.element_at(F.array(*map(longs, lower)), at + 1)))
+    dealt = F.pmod(F.xxhash64("text"), F.lit(found["nulls"] // per_bucket + 1)) - (found["nulls"] // per_bucket + 1)
+    return docs.withColumn("bucket", F.when(F.col(doc_id).isNull(), dealt).otherwise(bucket).cast("long"))
 
 
 def with_next(rows: DataFrame, order: list[str], following: list[str]) -> list[DataFrame]:

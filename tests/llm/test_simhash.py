@@ -83,8 +83,29 @@ def test_all_pairs_within_the_radius_of_edits(spark):
     signed = lambda x: x - 2**64 if x >> 63 else x
     frame = spark.createDataFrame([(signed(x >> 64), signed(x & (2**64 - 1))) for x in prints], "high long, low long")
     got = [frozenset((r[a] % 2**64) << 64 | r[b] % 2**64 for a, b in (("a_high", "a_low"), ("b_high", "b_low"))) for r in sh.close_pairs(frame, sh.EDITED).collect()]
-    want = {frozenset(p) for p in combinations(prints, 2) if (p[0] ^ p[1]).bit_count() <= 12}
+    want = {frozenset(p) for p in combinations(prints, 2) if (p[0] ^ p[1]).bit_count() <= sh.EDITED.radius}
     assert len(got) == len(want) and set(got) == want
+    # Counts instead of pairs, also where a key's fingerprints fill several chunks.
+    weight = {x: i % 3 + 1 for i, x in enumerate(sorted(prints))}
+    counted = spark.createDataFrame([(signed(x >> 64), signed(x & (2**64 - 1)), n) for x, n in weight.items()], "high long, low long, n long")
+    for search, chunk in ((sh.EDITED, 2), (sh.Search(radius=12, blocks=14), 1024), (sh.Search(radius=40, blocks=41), 5)):
+        near = {(r["high"] % 2**64) << 64 | r["low"] % 2**64: r["near"] for r in sh.near_counts(counted, search, chunk).collect()}
+        sums = {x: sum(weight[y] for y in prints if y != x and (x ^ y).bit_count() <= search.radius) for x in prints}
+        assert near == {x: n for x, n in sums.items() if n}
+
+
+def test_buckets_fill_evenly_however_ids_lie(spark):
+    from collections import Counter
+
+    ids = [*range(900), 9 * 10**18, -(10**15), *[10**12 + i for i in range(600)], *[None] * 500]
+    docs = spark.createDataFrame([(i, f"t{k}") for k, i in enumerate(ids)], "doc_id long, text string")
+    rows = sh.bucketed(docs, "doc_id", 20).collect()
+    assert max(Counter(r["bucket"] for r in rows).values()) <= 60 and len(rows) == len(ids)
+    known = sorted((r["doc_id"], r["bucket"]) for r in rows if r["doc_id"] is not None)
+    assert [b for _, b in known] == sorted(b for _, b in known) and min(b for _, b in known) >= 0
+    assert all(r["bucket"] < 0 for r in rows if r["doc_id"] is None)
+    only = sh.edit_report(docs.filter("doc_id is null"), per_bucket=20)
+    assert only.count() == 500
 
 
 def test_texts_with_one_changed_word_are_linked(spark):
