@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import math
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revisit.session import shared_dir
+from revisit.session import remove_dir, shared_dir
 
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -23,7 +26,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that the whole cluster shares."""
-    return f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    if _recording:
+        _recording[-1].append(path)
+    return path
+
+
+_recording: list[list[str]] = []
+
+
+@contextmanager
+def recorded(paths: list[str]) -> Iterator[None]:
+    """Within, paths of scratch tables are added to `paths`."""
+    _recording.append(paths)
+    try:
+        yield
+    finally:
+        _recording.pop()
+
+
+def release(paths: list[str], docs: DataFrame) -> None:
+    """Remove scratch tables that `docs` does not read; they go from the list as well."""
+    used = [unquote(f) for f in docs.inputFiles()]
+    for path in [p for p in paths if not any(p.rsplit("/", 1)[1] in f for f in used)]:
+        remove_dir(docs.sparkSession, path)
+        paths.remove(path)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -75,6 +102,21 @@ def running(df: DataFrame, keys: list[str], bucket: Column, order: list[str], va
     return df.join(totals, by).withColumn(into, (F.col(earlier) + F.coalesce(F.sum(v).over(within), F.lit(0))).cast("long")).drop(b, v, earlier)
 
 
+def least_hashed(ids: DataFrame, name: str, most: int) -> list[tuple[int, object]]:
+    """(hash, id) of at most `most` of the ids, which are distinct: those of least hash, in its order.
+
+    A hash limit that the count gives lets through little more than `most` ids; only these come to the driver.
+    """
+    total, margin = ids.count(), most + 6 * math.sqrt(most) + 50
+    share, found = 0.0, []
+    while share < 1 and len(found) < min(most, total):
+        share = min(1.0, margin / max(total, 1)) if not share else min(1.0, 2 * share)
+        limit = int((share - 0.5) * 2**64) if share < 1 else 2**63 - 1
+        hashed = ids.select(F.xxhash64(col(name)).alias("h"), col(name).alias("id"))
+        found = [(r["h"], r["id"]) for r in hashed.filter(F.col("h") <= F.lit(limit)).collect()]
+    return sorted(found)[:most]
+
+
 #: What each step takes from a text, in this order; what is left is "other".
 CHARACTER_STEPS = (
     ("plain_lower", "[a-z]+"),

@@ -17,8 +17,9 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from revisit.llm.common import SPACES, WORD_GAP, character_counts, col, fresh, let
+from revisit.llm.common import SPACES, WORD_GAP, character_counts, col, fresh, least_hashed, let
 
 Rule = tuple[tuple[int, bool, float], ...]  # (feature, whether at most, threshold), sorted
 FEATURES = (
@@ -186,7 +187,15 @@ def fit(x: np.ndarray, y: np.ndarray, t: Training = Training()) -> Ensemble:
 
 
 def training_rows(counted: DataFrame, labels: DataFrame, t: Training) -> tuple[np.ndarray, np.ndarray]:
-    """The bounded sample. counted: doc_id, features; labels: doc_id, label (0 to 1)."""
-    one = labels.filter("doc_id is not null and label is not null").groupBy("doc_id").agg(F.avg("label").alias("label"))
-    rows = counted.join(one, "doc_id").select("doc_id", "features", "label").orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(t.max_rows).collect()
-    return np.array([r["features"] for r in rows], float).reshape(len(rows), -1), np.array([float(r["label"] >= 0.5) for r in rows])
+    """The bounded sample. counted: doc_id, features; labels: doc_id, label (0 to 1).
+
+    At most max_rows ids are chosen from the labels alone; only their features come to the driver, once for an
+    id that is repeated.
+    """
+    one = labels.filter("doc_id is not null and label is not null").groupBy("doc_id").agg((F.avg("label") >= 0.5).alias("label"))
+    chosen = [i for _, i in least_hashed(one, "doc_id", t.max_rows)]
+    ids = counted.sparkSession.createDataFrame([(i,) for i in chosen], T.StructType([labels.schema["doc_id"]]))
+    some = counted.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("features").alias("features"))
+    rows = some.join(one, "doc_id").select("features", F.xxhash64("doc_id").alias("h"), "doc_id", "label").collect()
+    rows.sort(key=lambda r: (r["h"], r["doc_id"]))
+    return np.array([r["features"] for r in rows], float).reshape(len(rows), -1), np.array([float(r["label"]) for r in rows])

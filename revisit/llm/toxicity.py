@@ -25,8 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from revisit.llm.common import col
+from revisit.llm.common import col, least_hashed
 
 
 @dataclass(frozen=True)
@@ -361,16 +362,17 @@ class Scorer:
 
 
 def training_texts(docs: DataFrame, labels: DataFrame, s: Shape) -> tuple[list[str], np.ndarray]:
-    """The bounded sample. docs: doc_id, text; labels: doc_id, label (0 to 1)."""
+    """The bounded sample. docs: doc_id, text; labels: doc_id, label (0 to 1).
+
+    Ids are chosen from the labels alone, max_docs a class; then their texts are read, one of an id that is
+    repeated, and come to the driver unless they have more than max_chars. No other text moves.
+    """
     one = labels.filter("doc_id is not null and label is not null").groupBy("doc_id").agg(F.avg("label").alias("label"))
-    one = one.select("doc_id", (F.col("label") >= 0.5).cast("int").alias("label"))
-    texts, marks = [], []
-    for y in (0, 1):
-        some = docs.join(one.filter(F.col("label") == y), "doc_id").filter(F.length("text") <= s.max_chars)
-        found = some.orderBy(F.xxhash64("doc_id"), "doc_id", "text").select("text").limit(s.max_docs).collect()
-        texts += [r["text"] for r in found]
-        marks += [y] * len(found)
-    return texts, np.array(marks, float)
+    chosen = {i: (y, h) for y in (0, 1) for h, i in least_hashed(one.filter((F.col("label") >= 0.5) == F.lit(bool(y))), "doc_id", s.max_docs)}
+    ids = docs.sparkSession.createDataFrame([(i,) for i in chosen], T.StructType([labels.schema["doc_id"]]))
+    some = docs.filter(F.length("text") <= s.max_chars).join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+    found = sorted((*chosen[r["doc_id"]], r["doc_id"], r["text"]) for r in some.collect())
+    return [text for *_, text in found], np.array([y for y, *_ in found], float)
 
 
 _scorers: dict[int, Scorer] = {}

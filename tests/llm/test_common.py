@@ -96,3 +96,15 @@ def test_files_that_cut_in_another_way_are_given_whole_texts(tmp_path, texts):
         for text, ids in zip(texts, mine.encode(texts)):
             assert ids.tolist() == plain.encode(text or "", add_special_tokens=False).ids
     assert Encoder(public_tokenizers.path("byte_bpe_50k.json"), True).by_pieces and Encoder(public_tokenizers.path("word_bpe_49k.json"), False).by_pieces
+
+
+@pytest.mark.parametrize("most", [1, 7, 200, 5000])
+def test_least_hashed_ids(spark, most):
+    from pyspark.sql import functions as F
+
+    from revisit.llm.common import least_hashed
+
+    ids = spark.range(-300, 700).withColumnRenamed("id", "a.b")
+    want = [tuple(r) for r in spark.range(-300, 700).select(F.xxhash64("id"), "id").collect()]
+    assert least_hashed(ids, "a.b", most) == sorted(want)[:most]
+    assert least_hashed(ids.limit(0), "a.b", most) == []
