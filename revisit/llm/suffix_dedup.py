@@ -358,9 +358,8 @@ def later_spans(found: DataFrame, r: Repeats) -> DataFrame:
     large = materialise(found.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > r.group).select("key"), "suffix-large")
     if large.isEmpty():
         return _grouped_spans(found, r)
-    # Each of these keys has a block of segments at least, so they are few.
-    keys = F.broadcast(large)
-    return _grouped_spans(found.join(keys, "key", "left_anti"), r).unionByName(later_strings(found.join(keys, "key", "left_semi"), r))
+    # Spark knows the size of the written keys: it broadcasts few of them, and shuffles by key beyond its threshold.
+    return _grouped_spans(found.join(large, "key", "left_anti"), r).unionByName(later_strings(found.join(large, "key", "left_semi"), r))
 
 
 def _grouped_spans(found: DataFrame, r: Repeats) -> DataFrame:

@@ -56,3 +56,53 @@ def test_pipeline_stages(spark, sf_dir, con):
     assert counts[0] > counts[1] > counts[2] >= counts[3] > 0
     want = con.execute(f"SELECT count(*) FROM ({ORACLES['op8_distribution_divergence']}) WHERE kept").fetchone()[0]
     assert counts[1] == want
+
+
+def stages(docs, spark, sf_dir, folder):
+    """Each stage's rows, written and read again as the next one's."""
+    out = []
+    for name, step in corpus_pipeline.STAGES:
+        step(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+        out.append(docs)
+    return out
+
+
+def test_pipeline_on_edge_documents(spark, clashing, sf_dir, tmp_path):
+    *kept, packed = stages(clashing, spark, sf_dir, tmp_path)
+    given = {r["doc_id"]: r for r in clashing.collect()}
+    for docs in kept:
+        assert docs.columns == clashing.columns
+        extra = [c for c in clashing.columns if c not in ("doc_id", "text", "n_chars")]
+        assert all([r[c] for c in extra] == [given[r["doc_id"]][c] for c in extra] for r in docs.collect())
+    first, near, cut, _ = (d.collect() for d in kept)
+    assert {r["doc_id"] for r in first} >= {r["doc_id"] for r in near} >= {r["doc_id"] for r in cut} != set()
+    # The equal texts 0 and 4, the latter a repeated row too, and the near one 5 leave the least id.
+    assert sum(r["doc_id"] in (0, 4, 5) for r in first) == 5 and [r["doc_id"] for r in near if r["doc_id"] in (0, 4, 5)] == [0]
+    assert all(r["text"] and r["text"] in given[r["doc_id"]]["text"] for r in near)
+    assert {"doc_id", "start", "length", "sequence_id", "offset"} <= set(packed.columns) and packed.count() > 0
+
+
+def test_pipeline_on_an_empty_table(spark, none, sf_dir, tmp_path):
+    for docs in stages(none, spark, sf_dir, tmp_path):
+        assert docs.isEmpty()
+
+
+def test_a_stage_removes_the_scratch_of_those_before(spark, docs, sf_dir, tmp_path):
+    from pathlib import Path
+
+    from revisit.session import shared_dir
+
+    shared = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(shared.glob("llm-*"))
+    got = stages(docs, spark, sf_dir, tmp_path)
+    left = {p.name.split("-")[1] for p in set(shared.glob("llm-*")) - before}
+    assert left <= {"pack"} and all(d.count() >= 0 for d in got)
+
+
+def test_every_operator_has_sql_or_a_test_of_its_own():
+    from pathlib import Path
+
+    modules = {"op1": "token_planes", "op2": "packing", "op3": "toxicity", "op5": "simhash", "op6": "dartminhash", "op7": "rule_ensemble", "op10": "suffix_dedup"}
+    without = {name.split("_")[0] for name in REGISTRY} - {name.split("_")[0] for name in ORACLES}
+    assert without == set(modules) and all((Path(__file__).parent / f"test_{m}.py").exists() for m in modules.values())
