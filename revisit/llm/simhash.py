@@ -187,7 +187,9 @@ def bucketed(docs: DataFrame, doc_id: str, per_bucket: int, most: int = 1 << 14)
     longs = lambda some: F.array(*(F.lit(x).cast("long") for x in some)) if some else F.array().cast("array<bigint>")
     bucket = let(below(longs(upper)), lambda at: at * wide + below(F.element_at(F.array(*map(longs, lower)), at + 1)))
     dealt = F.pmod(F.xxhash64("text"), F.lit(found["nulls"] // per_bucket + 1)) - (found["nulls"] // per_bucket + 1)
-    return docs.withColumn("bucket", F.when(F.col(doc_id).isNull(), dealt).otherwise(bucket).cast("long"))
+    bucket = F.when(F.col(doc_id).isNull(), dealt).otherwise(bucket).cast("long")
+    # Never null, as Spark can see: else it filters one of two readers of the same shuffle, which then are two shuffles.
+    return docs.withColumn("bucket", F.coalesce(bucket, F.lit(0).cast("long")))
 
 
 def with_next(rows: DataFrame, order: list[str], following: list[str]) -> list[DataFrame]:

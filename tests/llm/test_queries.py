@@ -40,6 +40,10 @@ def test_held_out_accuracy(spark, con, name, column, modulus, rest, limit):
         assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= limit)
     held = [r for r in rows if r["held_out"] and r["doc_id"] in labels]
     assert sum(r["predicted"] == labels[r["doc_id"]] for r in held) / len(held) > 0.95
+    # Of the rare class, toxic or bad, most are found; of the other, few are taken for it.
+    rare = 1 if column == "toxic" else 0
+    of = {y: [r["predicted"] == rare for r in held if (labels[r["doc_id"]] == rare) == y] for y in (True, False)}
+    assert sum(of[True]) >= 0.8 * len(of[True]) > 0 and sum(of[False]) <= 0.02 * len(of[False])
 
 
 def test_pipeline_stages(spark, sf_dir, con):
@@ -77,8 +81,8 @@ def test_pipeline_on_edge_documents(spark, clashing, sf_dir, tmp_path):
         assert all([r[c] for c in extra] == [given[r["doc_id"]][c] for c in extra] for r in docs.collect())
     first, near, cut, _ = (d.collect() for d in kept)
     assert {r["doc_id"] for r in first} >= {r["doc_id"] for r in near} >= {r["doc_id"] for r in cut} != set()
-    # The equal texts 0 and 4, the latter a repeated row too, and the near one 5 leave the least id.
-    assert sum(r["doc_id"] in (0, 4, 5) for r in first) == 5 and [r["doc_id"] for r in near if r["doc_id"] in (0, 4, 5)] == [0]
+    # The equal texts 0 and 4, the latter in three rows, leave the least id.
+    assert sum(r["doc_id"] in (0, 4) for r in first) == 4 and [r["doc_id"] for r in near if r["doc_id"] in (0, 4)] == [0]
     assert all(r["text"] and r["text"] in given[r["doc_id"]]["text"] for r in near)
     assert {"doc_id", "start", "length", "sequence_id", "offset"} <= set(packed.columns) and packed.count() > 0
 

@@ -96,3 +96,31 @@ def test_without_both_labels_scores_are_constant(spark, docs):
     score = tx.Scorer(tx.train(texts, marks, SMALL))
     assert len(texts) == 1 and len(set(score(["a", None, "b c"]).tolist())) == 1
     assert tx.Scorer(tx.train([], np.array([]), SMALL))(["a"])[0] == 0.5
+
+
+def test_the_scorer_gives_the_networks_logits():
+    """The scorer's passes, place by place, against the network's own, over all windows of each text."""
+    texts, labels = sample(60, 5)
+    net = tx.train(texts, labels, SMALL)
+    some = [*texts[:20], prose(9, 500), "x", None, " "]
+    want = []
+    for text in some:
+        words = tx.tokens(text)
+        word, grams = zip(*(tx.codes(w, SMALL) for w in words)) if words else ((), ())
+        x = np.zeros((len(words) + 1, SMALL.word_size + SMALL.gram_size), np.float32)
+        if words:
+            x[:-1] = net.inputs(np.array(word), list(grams))
+        at, mask, _ = tx._layout(np.array([len(words)]), SMALL)
+        want.append(net.logits(*(g[np.where(at >= 0, at, len(words))] for g in net.gates(x)), mask).max())
+    assert np.allclose(tx.Scorer(net).raw(some), want, atol=1e-4)
+
+
+def test_the_sample_is_bounded_and_one_text_an_id(spark):
+    rows = [(i % 40, f"text {i} " * (300 if i % 7 == 0 else 1), i % 2) for i in range(400)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, label int")
+    s = tx.Shape(max_docs=9, max_chars=500)
+    texts, marks = tx.training_texts(docs, labels, s)
+    assert len(texts) == len(marks) <= 18 and marks.tolist() == sorted(marks.tolist()) and all(len(t) <= 500 for t in texts)
+    ids = [int(t.split()[1]) % 40 for t in texts]
+    assert len(set(ids)) == len(ids) and all(i % 2 == y for i, y in zip(ids, marks))
