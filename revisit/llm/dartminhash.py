@@ -9,7 +9,8 @@ text's total weight, so a text costs about as many darts as the signature has co
 plus one cell for each element; texts with a coordinate that nothing hits are done again with twice the bound.
 
 Signatures are joined by bands. Equal texts are first made one class, so that copies cost one signature row.
-Within a bucket each class is compared with the least one. Where that has not put a bucket's classes into one
+Within a bucket each class is compared with the least one: a class first with the least over all its buckets, then
+with the others that this has not put into its component. Where that has not put a bucket's classes into one
 component, an exact prefix filter finds the other pairs that may be near; no bucket is expanded into all its
 pairs. All similarities are checked on the elements themselves.
 Links (similarity of at least `similarity`) make components by min-label steps on DataFrames.
@@ -236,6 +237,14 @@ def merged(found: DataFrame, more: DataFrame) -> DataFrame:
     return known.unionByName(joined.join(found.select("node"), "node", "left_anti"))
 
 
+def apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose ends lie in different components; a node that found does not hold is one of its own."""
+    of = found.select(F.col("node").alias("n"), F.col("component").alias("c"))
+    ends = pairs.join(of, F.col("a") == F.col("n"), "left").select("a", "b", F.coalesce("c", "a").alias("ca"))
+    ends = ends.join(of, F.col("b") == F.col("n"), "left").select("a", "b", "ca", F.coalesce("c", "b").alias("cb"))
+    return ends.filter("ca <> cb").select("a", "b")
+
+
 def near_groups(numbered: DataFrame, row: str, doc_id: str, text: str, near: Near = Near()) -> DataFrame:
     """row, doc_id, class_row (least row of the equal texts), group_row (that of the near ones): one row per document.
 
@@ -249,12 +258,17 @@ def near_groups(numbered: DataFrame, row: str, doc_id: str, text: str, near: Nea
     members = materialise(buckets.join(shared, ["band", "key"]), "near-members")
     stars = members.filter("class_row <> least").select(F.col("least").alias("a"), F.col("class_row").alias("b")).distinct()
     stars = materialise(stars, "near-stars")
+    # A class has up to `bands` least members; the least of them first, as that mostly makes the others needless.
+    nearest = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     candidates = members.select("class_row").distinct()
     # The list of candidates grows with the corpus: joined by shuffle at every size.
     texts = numbered.select(col(row).alias("row"), col(text).alias("text")).join(candidates.hint("merge"), F.col("row") == F.col("class_row"), "left_semi")
     sets = materialise(element_sets(texts, near), "near-sets")
-    linked = materialise(verified(stars, sets, near), "near-links")
-    found = components(linked)
+    found = components(materialise(verified(nearest, sets, near), "near-links"))
+    others = materialise(apart(stars.join(nearest, ["a", "b"], "left_anti"), found), "near-apart")
+    linked = materialise(verified(others, sets, near), "near-links")
+    if not linked.isEmpty():
+        found = merged(found, linked)
     # What a bucket still holds in several components is compared across them.
     placed = members.join(found.withColumnRenamed("node", "class_row"), "class_row", "left").withColumn("component", F.coalesce("component", "class_row"))
     split = placed.groupBy("band", "key").agg(F.min("component").alias("lowest"), F.max("component").alias("highest")).filter("lowest < highest").select("band", "key")

@@ -140,3 +140,18 @@ def test_the_filter_with_counts_keeps_texts_with_and_without_repeats(spark):
     pairs = dm.prefix_pairs(sets.selectExpr("row as class_row", "row as component"), sets, near)
     got = {(r["a"], r["b"]) for r in dm.verified(pairs, sets, near).collect()}
     assert len(want) >= 12 and got == want
+
+
+def test_a_large_group_of_near_copies_is_compared_less_than_twice_a_class(spark, monkeypatch):
+    texts = [t for s in range(2) for t in family(5 + s, prose(950 + s, 300), 60)]
+    compared, verified = [], dm.verified
+
+    def counted(pairs, sets, near):
+        compared.append(pairs.count())
+        return verified(pairs, sets, near)
+
+    monkeypatch.setattr(dm, "verified", counted)
+    rows = list(enumerate(texts))
+    got = dm.near_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["group_id"] for r in got} == dict(enumerate(brute(rows)))
+    assert 0 < sum(compared) < 2 * len(rows)
