@@ -18,6 +18,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revisit.llm.common import col, materialise, running
-from revisit.llm.tokens import encoder
+from revisit.llm.tokens import column_texts, encoder
 
 
 @dataclass(frozen=True)
@@ -110,9 +111,10 @@ def encoded(docs: DataFrame, tokenizer: str, spaced: bool, end_id: int) -> DataF
         enc = encoder(tokenizer, spaced)
         end = np.array([end_id], enc.dtype).tobytes()
         for batch in batches:
+            found = enc.encode(column_texts(batch.column(2)))
             for lo in range(0, batch.num_rows, 512):
                 some = batch.slice(lo, 512)
-                ids = [x.tobytes() + end for x in enc.encode(some.column(2).to_pylist())]
+                ids = [x.tobytes() + end for x in islice(found, some.num_rows)]
                 n = pa.array([len(x) // enc.dtype.itemsize for x in ids], pa.int64())
                 yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), n, pa.array(ids, pa.binary())], ["row", "doc_id", "n_tokens", "ids"])
 

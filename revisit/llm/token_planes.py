@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from revisit.llm.common import col, scratch_path
-from revisit.llm.tokens import encoder
+from revisit.llm.tokens import column_texts, encoder
 
 MAGIC = b"IDPLANE1"
 
@@ -53,18 +53,23 @@ def _filesystem(uri: str):
 def to_planes(ids: np.ndarray, planes: str) -> list[bytes]:
     """The planes of some ids, lowest bit or byte first. ids: of a little-endian unsigned type."""
     rows = ids.view(np.uint8).reshape(len(ids), ids.dtype.itemsize)
+    columns = [np.ascontiguousarray(rows[:, i]) for i in range(rows.shape[1])]
     if planes == "bytes":
-        return [np.ascontiguousarray(rows[:, i]).tobytes() for i in range(rows.shape[1])]
-    bits = np.unpackbits(rows, axis=1, bitorder="little")
-    packed = np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little")
-    return [x.tobytes() for x in packed]
+        return [x.tobytes() for x in columns]
+    return [np.packbits(x & np.uint8(1 << b), bitorder="little").tobytes() for x in columns for b in range(8)]
 
 
 def from_planes(stored: list[bytes], n: int, dtype: np.dtype, planes: str) -> np.ndarray:
-    if planes == "bytes":
-        return np.ascontiguousarray(np.stack([np.frombuffer(x, np.uint8) for x in stored], axis=1)).view(dtype).reshape(n)
-    bits = np.stack([np.unpackbits(np.frombuffer(x, np.uint8), bitorder="little", count=n) for x in stored])
-    return np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little").view(dtype).reshape(n)
+    rows = np.zeros((n, dtype.itemsize), np.uint8)
+    for i in range(dtype.itemsize):
+        if planes == "bytes":
+            rows[:, i] = np.frombuffer(stored[i], np.uint8)
+            continue
+        column = np.zeros(n, np.uint8)
+        for b, plane in enumerate(stored[8 * i : 8 * i + 8]):
+            column |= np.unpackbits(np.frombuffer(plane, np.uint8), bitorder="little", count=n) << np.uint8(b)
+        rows[:, i] = column
+    return rows.view(dtype).reshape(n)
 
 
 class Writer:
@@ -188,10 +193,8 @@ def write_planes(docs: DataFrame, path: str, tokenizer: str, spaced: bool = True
                 fs.create_dir(at.rsplit("/", 1)[0], recursive=True)
                 out = fs.open_output_stream(at)
                 writer = Writer(out, enc.dtype, layout)
-            for lo in range(0, batch.num_rows, 256):
-                some = batch.slice(lo, 256)
-                for doc_id, ids in zip(some.column(0).to_pylist(), enc.encode(some.column(1).to_pylist())):
-                    writer.add(doc_id, np.concatenate([ids, end]))
+            for doc_id, ids in zip(batch.column(0).to_pylist(), enc.encode(column_texts(batch.column(1)))):
+                writer.add(doc_id, np.concatenate([ids, end]))
         if writer is not None:
             writer.close()
             out.close()

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from revisit.llm import hashing
-from revisit.llm.tokens import Encoder
+from revisit.llm.tokens import Encoder, _dealt, column_texts
 
 
 @pytest.fixture(scope="module", params=[("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
@@ -108,3 +108,52 @@ def test_least_hashed_ids(spark, most):
     want = [tuple(r) for r in spark.range(-300, 700).select(F.xxhash64("id"), "id").collect()]
     assert least_hashed(ids, "a.b", most) == sorted(want)[:most]
     assert least_hashed(ids.limit(0), "a.b", most) == []
+
+
+class Counted(dict):
+    """A table that counts how often it is asked."""
+
+    asked = 0
+
+    def get(self, key, default=None):
+        self.asked += 1
+        return super().get(key, default)
+
+    def __getitem__(self, key):
+        self.asked += 1
+        return super().__getitem__(key)
+
+
+def test_a_part_is_looked_up_once_in_a_group_of_texts(pair):
+    """Not once for each time it occurs, nor for each mark behind it."""
+    mine, plain = pair
+    mine.known, mine.old = Counted(), {}
+    some = [f"word other{mark} word{mark} again\nother{mark} word" for mark in (".", ",", "?!")] * 50
+    for _ in range(2):
+        mine.known.asked = 0
+        for text, ids in zip(some, mine.encode(some)):
+            assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
+        assert mine.known.asked < 15
+    assert not any(key[0].isalpha() and key[-1] in ".,!" for key in mine.known)
+
+
+@settings(max_examples=150, deadline=None)
+@given(some=st.lists(st.one_of(st.none(), st.text(alphabet=ODD, max_size=15), st.text(alphabet="ab .,\n<é'", max_size=30), st.sampled_from(SPECIAL)), max_size=8), together=st.sampled_from([1, 150, 1 << 20]))
+def test_groups_of_texts_of_all_kinds(some, together):
+    for mine, plain in _ENCODERS.values():
+        assert [x.tolist() for x in mine.encode(some, together)] == [plain.encode(x or "", add_special_tokens=False).ids for x in some]
+
+
+@pytest.mark.parametrize("step", [1, 3, 100])
+def test_ids_are_dealt_in_steps(step):
+    ids, n = np.arange(7, dtype="<u2"), np.array([2, 0, 4, 1])
+    codes = np.array([3, 1, 0, 1, 2, 2, 0, 1], np.int32)
+    got, ends = _dealt(ids, n, codes, step)
+    assert got.tolist() == [6, 0, 1, 2, 3, 4, 5, 2, 3, 4, 5, 0, 1] and got.dtype == ids.dtype and ends.tolist() == [1, 1, 3, 3, 7, 11, 13, 13]
+    assert [len(x) for x in _dealt(ids, n, codes[:0], step)] == [0, 0]
+
+
+def test_a_columns_texts():
+    for kind in (pa.string(), pa.large_string()):
+        assert list(column_texts(pa.array(["z", "a", None, "", "é"], kind).slice(1), rows=2)) == ["a", None, "", "é"]
+    assert list(column_texts(pa.array([], pa.string()))) == []

@@ -31,6 +31,16 @@ def test_planes_and_files_round_trip(planes, dtype):
     assert start == sum(map(len, docs)) and len(reader.head["chunks"]) == -(-start // 64)
 
 
+@pytest.mark.parametrize("dtype", ["<u2", "<u4"])
+def test_plane_b_holds_bit_b(dtype):
+    ids = np.random.default_rng(2).integers(0, 60_000, 77).astype(dtype)
+    planes = tp.to_planes(ids, "bits")
+    assert len(planes) == 8 * ids.dtype.itemsize
+    for b, plane in enumerate(planes):
+        assert plane == bytes(sum((int(x) >> b & 1) << i for i, x in enumerate(ids[lo : lo + 8])) for lo in range(0, 77, 8))
+    assert tp.from_planes(planes, 77, ids.dtype, "bits").tolist() == ids.tolist()
+
+
 def test_damage_is_found():
     file = io.BytesIO()
     writer = tp.Writer(file, np.dtype("<u2"), tp.Layout(block=64, planes="bytes", level=1))
