@@ -72,7 +72,7 @@ def _strings(column: pa.Array) -> list[str | None]:
     return column.to_numpy(zero_copy_only=False).tolist()
 
 
-def _dealt(ids: np.ndarray, n: np.ndarray, codes: np.ndarray, step: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+def _dealt(ids: np.ndarray, n: np.ndarray, codes: np.ndarray, step: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
     """The ids of entries `codes` one after the other, and where each ends. n: ids of each entry, which lie in order."""
     first, much = np.cumsum(n) - n, n[codes]
     ends, parts = np.cumsum(much), [ids[:0]]
@@ -212,7 +212,7 @@ class Encoder:
         ids = [self._cut(cut(x)) if x else iter(()) for cut, x in ((self._plain, some[_PLAIN]), (self._loose, some[_LOOSE]))] + [whole]
         return (next(ids[kind]) for kind in kinds)
 
-    def encode(self, texts: Iterable[str | None], together: int = 6 << 20) -> Iterator[np.ndarray]:
+    def encode(self, texts: Iterable[str | None], together: int = 4 << 20) -> Iterator[np.ndarray]:
         """The ids of each text in turn; null texts are empty. together: characters of a group, its last text may go beyond."""
         some: list[str] = []
         size = 0
