@@ -9,8 +9,9 @@ text's total weight, so a text costs about as many darts as the signature has co
 plus one cell for each element; texts with a coordinate that nothing hits are done again with twice the bound.
 
 Signatures are joined by bands. Equal texts are first made one class, so that copies cost one signature row.
-Within a bucket each class is compared with the least one: a class first with the least over all its buckets, then
-with the others that this has not put into its component. Where that has not put a bucket's classes into one
+Within a bucket each class is compared with the bucket's centre, the class that meets most others over all its
+buckets, as a common source does: a class first with the first of its buckets' centres, then with the others that
+this has not put into its component. Where that has not put a bucket's classes into one
 component, an exact prefix filter finds the other pairs that may be near; no bucket is expanded into all its
 pairs. All similarities are checked on the elements themselves.
 Links (similarity of at least `similarity`) make components by min-label steps on DataFrames.
@@ -254,12 +255,17 @@ def near_groups(numbered: DataFrame, row: str, doc_id: str, text: str, near: Nea
     copies = signed.groupBy("text_hash").agg(F.min("row").alias("class_row"), F.first("bands").alias("bands"))
     classes = materialise(copies, "near-classes")
     buckets = classes.filter(F.size("bands") > 0).select("class_row", F.posexplode("bands").alias("band", "key"))
-    shared = buckets.groupBy("band", "key").agg(F.min("class_row").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    shared = buckets.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1")
     members = materialise(buckets.join(shared, ["band", "key"]), "near-members")
-    stars = members.filter("class_row <> least").select(F.col("least").alias("a"), F.col("class_row").alias("b")).distinct()
-    stars = materialise(stars, "near-stars")
-    # A class has up to `bands` least members; the least of them first, as that mostly makes the others needless.
-    nearest = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    # First comes the class that meets most others; of several, the least.
+    met = members.groupBy("class_row").agg(F.struct((-F.sum("n")).alias("met"), F.col("class_row").alias("row")).alias("rank"))
+    ranked = members.join(met, "class_row")
+    centres = ranked.groupBy("band", "key").agg(F.min("rank").alias("centre"))
+    stars = ranked.join(centres, ["band", "key"]).filter("class_row <> centre.row").select("centre", F.col("class_row").alias("b")).distinct()
+    stars = materialise(stars.select("centre", F.col("centre.row").alias("a"), "b"), "near-stars")
+    # A class has up to `bands` centres; the first of them first, as that mostly makes the others needless.
+    nearest = stars.groupBy("b").agg(F.min("centre").alias("centre")).select(F.col("centre.row").alias("a"), "b")
+    stars = stars.select("a", "b")
     candidates = members.select("class_row").distinct()
     # The list of candidates grows with the corpus: joined by shuffle at every size.
     texts = numbered.select(col(row).alias("row"), col(text).alias("text")).join(candidates.hint("merge"), F.col("row") == F.col("class_row"), "left_semi")
@@ -273,7 +279,8 @@ def near_groups(numbered: DataFrame, row: str, doc_id: str, text: str, near: Nea
     placed = members.join(found.withColumnRenamed("node", "class_row"), "class_row", "left").withColumn("component", F.coalesce("component", "class_row"))
     split = placed.groupBy("band", "key").agg(F.min("component").alias("lowest"), F.max("component").alias("highest")).filter("lowest < highest").select("band", "key")
     open_ = materialise(placed.join(split, ["band", "key"]).select("class_row", "component").distinct(), "near-open")
-    more = materialise(prefix_pairs(open_, sets, near), "near-pairs").join(stars, ["a", "b"], "left_anti")
+    compared = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = materialise(prefix_pairs(open_, sets, near), "near-pairs").join(compared, ["a", "b"], "left_anti")
     more = materialise(verified(more, sets, near), "near-links")
     if not more.isEmpty():
         found = merged(found, more)

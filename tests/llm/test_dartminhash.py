@@ -155,3 +155,29 @@ def test_a_large_group_of_near_copies_is_compared_less_than_twice_a_class(spark,
     got = dm.near_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r["doc_id"]: r["group_id"] for r in got} == dict(enumerate(brute(rows)))
     assert 0 < sum(compared) < 2 * len(rows)
+
+
+def test_a_large_group_whose_first_rows_are_far_from_the_others_is_compared_less_than_twice_a_class(spark, monkeypatch):
+    base, rng, texts = prose(970, 300), random.Random(9), []
+    for edits in [6] * 40 + [0] + [1, 2, 3] * 27:
+        w = base.split(" ")
+        for at in rng.sample(range(len(w)), edits):
+            w[at] = f"w{rng.randrange(10**6)}"
+        texts.append(" ".join(w))
+    compared, listed, verified, prefix_pairs = [], [], dm.verified, dm.prefix_pairs
+
+    def counted(pairs, sets, near):
+        compared.append(pairs.count())
+        return verified(pairs, sets, near)
+
+    def counted_list(open_, sets, near):
+        pairs = prefix_pairs(open_, sets, near)
+        listed.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(dm, "verified", counted)
+    monkeypatch.setattr(dm, "prefix_pairs", counted_list)
+    rows = list(enumerate(texts))
+    got = dm.near_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["group_id"] for r in got} == dict(enumerate(brute(rows)))
+    assert 0 < sum(compared) < 2 * len(rows) and sum(listed) < len(rows), (compared, listed)
