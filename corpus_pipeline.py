@@ -19,8 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from revisit.llm import dartminhash, divergence, mixing, packing, suffix_dedup
 from revisit.llm.common import materialise, recorded, release, table
+from revisit.llm.tokens import Room
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: Workers stay from stage to stage, beside an executor's heap, so their encoders are kept small.
+ROOM = Room(most=100_000, together=1 << 20)
 #: Scratch tables of the stages of this run so far.
 _scratch: list[str] = []
 
@@ -66,7 +69,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, with their places in sequences."""
     import public_tokenizers
 
-    return packing.pack_report(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack_report(docs, public_tokenizers.path("word_bpe_49k.json"), room=ROOM)
 
 
 STAGES = [

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revisit.llm.common import col, fresh, materialise
+from revisit.llm.common import col, fresh, materialise, row_slices
 from revisit.llm.hashing import distinct, mix, runs, slices, text_bytes, word_hashes
 
 
@@ -148,7 +148,7 @@ def verified(pairs: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
     """The pairs (a, b) whose similarity reaches the bound, with it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in row_slices(batches):
             a, b, ha, hb, wa, wb = (c.to_pylist() for c in batch.columns)
             out = np.empty(len(a))
             for i in range(len(a)):
@@ -177,15 +177,14 @@ def prefix_pairs(open_: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
     share = near.similarity / (1 + near.similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in row_slices(batches):
             rows, hashes, weights = (c.to_pylist() for c in batch.columns)
-            for lo in range(0, len(rows), 256):
-                some = [np.frombuffer(x, "<u8") for x in hashes[lo : lo + 256]]
-                # A weight of w counts as w elements, numbered alike in all texts.
-                times = [np.frombuffer(w, "<f4").astype(np.int64) if w else np.ones(len(x), np.int64) for x, w in zip(some, weights[lo : lo + 256])]
-                some = [x if near.weights == "set" else mix(np.repeat(x, t) ^ (np.arange(t.sum()) - np.repeat(np.cumsum(t) - t, t)).astype(np.uint64)) for x, t in zip(some, times)]
-                row = np.repeat(np.array(rows[lo : lo + 256], np.int64), [len(x) for x in some])
-                yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(np.concatenate(some).view(np.int64))], ["row", "hash"])
+            some = [np.frombuffer(x, "<u8") for x in hashes]
+            # A weight of w counts as w elements, numbered alike in all texts.
+            times = [np.frombuffer(w, "<f4").astype(np.int64) if w else np.ones(len(x), np.int64) for x, w in zip(some, weights)]
+            some = [x if near.weights == "set" else mix(np.repeat(x, t) ^ (np.arange(t.sum()) - np.repeat(np.cumsum(t) - t, t)).astype(np.uint64)) for x, t in zip(some, times)]
+            row = np.repeat(np.array(rows, np.int64), [len(x) for x in some])
+            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(np.concatenate(some).view(np.int64))], ["row", "hash"])
 
     wanted = sets.join(open_.select(F.col("class_row").alias("row")), "row", "left_semi").select("row", "hashes", "weights")
     each = materialise(wanted.mapInArrow(run, "row long, hash long"), "near-elements")

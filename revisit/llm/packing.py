@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revisit.llm.common import col, materialise, running
-from revisit.llm.tokens import column_texts, encoder
+from revisit.llm.common import col, materialise, row_slices, running
+from revisit.llm.tokens import Room, column_texts, encoder
 
 
 @dataclass(frozen=True)
@@ -104,14 +104,14 @@ def plan(counts: np.ndarray, depth: int) -> list[tuple[tuple[int, ...], int]]:
     return out
 
 
-def encoded(docs: DataFrame, tokenizer: str, spaced: bool, end_id: int) -> DataFrame:
+def encoded(docs: DataFrame, tokenizer: str, spaced: bool, end_id: int, room: Room = Room()) -> DataFrame:
     """A written table: row, doc_id, n_tokens, ids (of the encoder's type, as bytes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer, spaced)
+        enc = encoder(tokenizer, spaced, room.most)
         end = np.array([end_id], enc.dtype).tobytes()
         for batch in batches:
-            found = enc.encode(column_texts(batch.column(2)))
+            found = enc.encode(column_texts(batch.column(2)), room.together)
             for lo in range(0, batch.num_rows, 512):
                 some = batch.slice(lo, 512)
                 ids = [x.tobytes() + end for x in islice(found, some.num_rows)]
@@ -138,7 +138,10 @@ def packed(lengths: DataFrame, packing: Packing = Packing()) -> DataFrame:
             places.append((x, int(taken[x - 1]), n, first, position))
             taken[x - 1] += n
         first += n
-    places = spark.createDataFrame(places, "bin int, base long, n long, first long, position int")
+    # As an Arrow table: a list of rows would go through Python workers of their own, which stay beside the others.
+    kinds = {"bin": pa.int32(), "base": pa.int64(), "n": pa.int64(), "first": pa.int64(), "position": pa.int32()}
+    columns = zip(*places) if places else [()] * len(kinds)
+    places = spark.createDataFrame(pa.table({k: pa.array(x, t) for (k, t), x in zip(kinds.items(), columns)}))
     bucket = F.pmod(F.xxhash64("row", "start"), F.lit(packing.buckets))
     ranked = materialise(running(pieces, ["bin"], bucket, ["row", "start"], F.lit(1).cast("long"), "rank"), "pack-ranks")
     used = [int(x) for x in taken]
@@ -158,17 +161,17 @@ def packed(lengths: DataFrame, packing: Packing = Packing()) -> DataFrame:
     return placed.unionByName(rest)
 
 
-def pack_report(docs: DataFrame, tokenizer: str, packing: Packing = Packing(), spaced: bool = False, end_id: int = 1, ids: bool = False) -> DataFrame:
+def pack_report(docs: DataFrame, tokenizer: str, packing: Packing = Packing(), spaced: bool = False, end_id: int = 1, ids: bool = False, room: Room = Room()) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of each piece of all documents (doc_id, text).
 
-    ids adds the piece's ids, little-endian unsigned 32-bit.
+    ids adds the piece's ids, little-endian unsigned 32-bit. room: of the workers that encode.
     """
-    tokens = encoded(docs, tokenizer, spaced, end_id)
+    tokens = encoded(docs, tokenizer, spaced, end_id, room)
     pieces = packed(tokens.select("row", "n_tokens"), packing)
     cuts = pieces.groupBy("row").agg(F.collect_list(F.struct("start", "length", "sequence_id", "offset")).alias("cuts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in row_slices(batches):
             out = []
             for doc_id, n, data, some in zip(*(c.to_pylist() for c in batch.columns)):
                 wide = np.frombuffer(data, "<u2" if len(data) == 2 * n else "<u4").astype("<u4")

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revisit.llm.common import col, fresh, materialise
+from revisit.llm.common import col, fresh, materialise, row_slices
 from revisit.llm.hashing import mix, text_bytes
 from revisit.llm.suffix_sort import common_prefixes, suffix_array, words_at
 
@@ -211,7 +211,7 @@ def segments(texts: DataFrame, r: Repeats) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         half = r.left // 2
-        for batch in batches:
+        for batch in row_slices(batches):
             data, offsets = text_bytes(batch.column(2))
             out: list[tuple] = []
             for i, found in enumerate(batch.column(3).to_pylist()):
@@ -461,7 +461,7 @@ def remove_repeats(docs: DataFrame, r: Repeats = Repeats(), doc_id: str = "doc_i
     at, chars = names.index(text), names.index("n_chars") if "n_chars" in names and text != "n_chars" else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in row_slices(batches):
             *columns, cuts = batch.columns
             cuts = cuts.to_pylist()
             data, offsets = text_bytes(columns[at])

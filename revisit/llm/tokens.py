@@ -16,6 +16,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -85,6 +86,17 @@ def _dealt(ids: np.ndarray, n: np.ndarray, codes: np.ndarray, step: int = 1 << 1
     return np.concatenate(parts), ends
 
 
+@dataclass(frozen=True)
+class Room:
+    """What an encoding worker may hold: keys of each generation of its table, and characters of a group of texts.
+
+    Less room costs time, not ids: more parts are learned again, and fewer pieces of a group are alike.
+    """
+
+    most: int = 600_000
+    together: int = 4 << 20
+
+
 class Encoder:
     """Ids of texts. spaced: the tokenizer keeps white space, in front of words.
 
@@ -92,7 +104,7 @@ class Encoder:
     table has two generations of `most` keys of pieces' parts; what is used moves to the newer one.
     """
 
-    def __init__(self, path: str, spaced: bool, most: int = 600_000, longest: int = 40):
+    def __init__(self, path: str, spaced: bool, most: int = Room.most, longest: int = 40):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -212,7 +224,7 @@ class Encoder:
         ids = [self._cut(cut(x)) if x else iter(()) for cut, x in ((self._plain, some[_PLAIN]), (self._loose, some[_LOOSE]))] + [whole]
         return (next(ids[kind]) for kind in kinds)
 
-    def encode(self, texts: Iterable[str | None], together: int = 4 << 20) -> Iterator[np.ndarray]:
+    def encode(self, texts: Iterable[str | None], together: int = Room.together) -> Iterator[np.ndarray]:
         """The ids of each text in turn; null texts are empty. together: characters of a group, its last text may go beyond."""
         some: list[str] = []
         size = 0
@@ -225,7 +237,7 @@ class Encoder:
         yield from self._group(some)
 
 
-_encoders: dict[tuple[str, bool], Encoder] = {}
+_encoders: dict[tuple[str, bool, int], Encoder] = {}
 
 
 def column_texts(column: pa.Array, rows: int = 256) -> Iterator[str | None]:
@@ -234,8 +246,8 @@ def column_texts(column: pa.Array, rows: int = 256) -> Iterator[str | None]:
         yield from _strings(column.slice(lo, rows))
 
 
-def encoder(path: str, spaced: bool) -> Encoder:
+def encoder(path: str, spaced: bool, most: int = Room.most) -> Encoder:
     """This worker's encoder; it stays for the worker's later tasks."""
-    if (path, spaced) not in _encoders:
-        _encoders[path, spaced] = Encoder(path, spaced)
-    return _encoders[path, spaced]
+    if (path, spaced, most) not in _encoders:
+        _encoders[path, spaced, most] = Encoder(path, spaced, most)
+    return _encoders[path, spaced, most]

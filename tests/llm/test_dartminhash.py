@@ -181,3 +181,31 @@ def test_a_large_group_whose_first_rows_are_far_from_the_others_is_compared_less
     got = dm.near_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r["doc_id"]: r["group_id"] for r in got} == dict(enumerate(brute(rows)))
     assert 0 < sum(compared) < 2 * len(rows) and sum(listed) < len(rows), (compared, listed)
+
+
+def test_verifying_makes_few_python_objects_at_a_time(spark):
+    import tracemalloc
+
+    class Frame:
+        """Takes any step, and keeps the function that tasks run."""
+
+        def __getattr__(self, name):
+            return lambda *a: self
+
+        def mapInArrow(self, run, kind):
+            self.run = run
+            return self
+
+    n, m = 4000, 500
+    sets = np.arange(n * m, dtype="<u8").reshape(n, m)
+    a = pa.array([x.tobytes() for x in sets], pa.binary())
+    ids, empty = pa.array(range(n), pa.int64()), pa.array([b""] * n, pa.binary())
+    batch = pa.RecordBatch.from_arrays([ids, ids, a, a, empty, empty], ["a", "b", "ha", "hb", "wa", "wb"])
+    run = dm.verified(Frame(), Frame(), dm.Near()).run
+    tracemalloc.start()
+    try:
+        found = sum(x.num_rows for x in run(iter([batch])))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == n and most < batch.nbytes / 4

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -9,7 +10,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from revisit.llm import packing as pk
+from revisit.llm.tokens import Encoder, Room
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -98,3 +101,36 @@ def test_little_padding(spark, tmp_path):
 def test_ids_on_request(docs, ids):
     for r in pk.pack_report(docs, PATH, ids=ids).collect():
         assert zlib.crc32(bytes(r["ids"])) == r["ids_crc32"] and len(r["ids"]) == 4 * r["length"]
+
+
+def test_places_need_no_python_workers_of_their_own(spark, tmp_path, monkeypatch):
+    spark.range(3000).selectExpr("id as row", "1 + pmod(xxhash64(id), 3000) as n_tokens").write.parquet(str(tmp_path / "l"))
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", lambda *a, **b: pytest.fail("rows went through Python"))
+    lengths = spark.read.parquet(str(tmp_path / "l"))
+    assert pk.packed(lengths).groupBy().sum("length").first() == lengths.groupBy().sum("n_tokens").first()
+    short = lengths.selectExpr("row", "1L as n_tokens").limit(3).localCheckpoint()
+    assert sorted(tuple(r)[1:] for r in pk.packed(short).collect()) == [(0, 1, 0, 0), (0, 1, 0, 1), (0, 1, 0, 2)]
+
+
+def test_the_pipelines_encoders_are_small(docs, monkeypatch):
+    seen, plain = [], pk.encoded
+    monkeypatch.setattr(pk, "encoded", lambda *a: seen.append(a[-1]) or plain(*a))
+    corpus_pipeline.STAGES[-1][1](docs.sparkSession, docs, "").count()
+    (room,) = seen
+    # Mostly words that stand once, as in large corpora.
+    rng = np.random.default_rng(5)
+    words = rng.integers(97, 123, (300_000, 7), np.uint8).view("S7").ravel().astype(str)
+    texts = [" ".join(words[lo : lo + 500]) for lo in range(0, len(words), 500)]
+
+    def held(room):
+        enc, ids = Encoder(PATH, False, room.most), []
+        tracemalloc.start()
+        try:
+            for x in enc.encode(texts, room.together):
+                ids.append(zlib.crc32(x.tobytes()))
+            return ids, tracemalloc.get_traced_memory()[1] / 2**20
+        finally:
+            tracemalloc.stop()
+
+    (large, much), (small, little) = held(Room()), held(room)
+    assert small == large and little < 60 < much, (little, much)
