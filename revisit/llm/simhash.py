@@ -43,6 +43,7 @@ class Search:
 #: Finds texts of 100 words and more with one changed word; 28 tables with keys of 32 bits.
 EDITED = Search(radius=6, blocks=8, term_words=1)
 CHUNK = 1024
+KEY = ["mixed", "choice", "kl"]
 
 
 def _lanes(sums: list[Column], n: Column) -> Column:
@@ -100,20 +101,27 @@ def _masks(blocks: int) -> list[tuple[int, int]]:
 
 
 def _tables(distinct: DataFrame, search: Search) -> tuple[DataFrame, list[tuple[int, ...]]]:
-    """The rows once for each choice of blocks, with choice, kh, kl (the choice and the bits of its blocks); and the choices."""
+    """The rows once for each choice of blocks, with KEY (the choice and the bits of its blocks); and the choices."""
     blocks = _masks(search.blocks)
     chosen = list(combinations(range(search.blocks), search.blocks - search.radius))
     choices = [tuple(sum(blocks[i][half] for i in some) for half in (0, 1)) for some in chosen]
     masks = F.array(*(F.struct(F.lit(i).alias("choice"), F.lit(h).cast("long").alias("h"), F.lit(low).cast("long").alias("l")) for i, (h, low) in enumerate(choices)))
     keyed = distinct.select("*", F.explode(masks).alias("m"))
-    key = (F.col("m.choice").alias("choice"), F.col("high").bitwiseAND(F.col("m.h")).alias("kh"), F.col("low").bitwiseAND(F.col("m.l")).alias("kl"))
+    kh, kl = F.col("high").bitwiseAND(F.col("m.h")), F.col("low").bitwiseAND(F.col("m.l"))
+    # With the low half a key as good as with the high one; its first column differs between most keys, so sorting is quick.
+    mixed = kh.bitwiseXOR(F.shiftleft(kl, 32).bitwiseOR(F.shiftrightunsigned(kl, 32)))
+    key = (mixed.alias("mixed"), F.col("m.choice").alias("choice"), kl.alias("kl"))
     return keyed.select(*distinct.columns, *key), chosen
 
 
-def _first_shown(x_high: Column, x_low: Column, choice: Column, chosen: list[tuple[int, ...]], search: Search) -> Column:
-    """Whether a pair within the radius, of which these are the differing bits, is shown by no choice before this one, in which it agrees."""
+def _last(choice: Column, chosen: list[tuple[int, ...]]) -> Column:
+    """The last block of a choice."""
+    return F.element_at(F.array(*(F.lit(some[-1]) for some in chosen)), choice + 1)
+
+
+def _first_shown(x_high: Column, x_low: Column, last: Column, search: Search) -> Column:
+    """Whether a pair, of which these are the differing bits, is within the radius and shown by no choice before the one in which it agrees, with this last block."""
     # It is if the pair agrees in no other block before the last of the choice.
-    last = F.element_at(F.array(*(F.lit(some[-1]) for some in chosen)), choice + 1)
     agrees = [(x_high.bitwiseAND(F.lit(h).cast("long")) == 0) & (x_low.bitwiseAND(F.lit(low).cast("long")) == 0) & (last >= i) for i, (h, low) in enumerate(_masks(search.blocks))]
     first = sum((x.cast("int") for x in agrees), F.lit(0)) == search.blocks - search.radius
     return (F.bit_count(x_high) + F.bit_count(x_low) <= search.radius) & first
@@ -127,35 +135,46 @@ def close_pairs(distinct: DataFrame, search: Search = Search()) -> DataFrame:
     keyed, chosen = _tables(distinct.select("high", "low"), search)
     a, b = keyed.withColumnsRenamed({"high": "a_high", "low": "a_low"}), keyed.withColumnsRenamed({"high": "b_high", "low": "b_low"})
     x_high, x_low = F.col("a_high").bitwiseXOR(F.col("b_high")), F.col("a_low").bitwiseXOR(F.col("b_low"))
-    same = (a["choice"] == b["choice"]) & (a["kh"] == b["kh"]) & (a["kl"] == b["kl"])
+    same = (a["mixed"] == b["mixed"]) & (a["choice"] == b["choice"]) & (a["kl"] == b["kl"])
     ordered = (F.col("a_high") < F.col("b_high")) | ((F.col("a_high") == F.col("b_high")) & (F.col("a_low") < F.col("b_low")))
     # Exploded tables are larger than Spark guesses: never a broadcast.
-    return a.join(b.hint("merge"), same & ordered & _first_shown(x_high, x_low, a["choice"], chosen, search)).select("a_high", "a_low", "b_high", "b_low")
+    return a.join(b.hint("merge"), same & ordered & _first_shown(x_high, x_low, _last(a["choice"], chosen), search)).select("a_high", "a_low", "b_high", "b_low")
 
 
 def near_counts(counted: DataFrame, search: Search = Search(), chunk: int = CHUNK) -> DataFrame:
     """high, low, near: for fingerprints with others within the radius, the sum of their n. counted: high, low (each once), n.
 
-    A key with many fingerprints is cut into chunks by hash; chunks meet, and only counts come out.
+    A key with many fingerprints is cut into chunks by hash. Each two chunks of a key meet in a row of their own, dealt by
+    both, and only counts come out. Most pairs end at their folded halves: these differ in no more bits than the pair does.
     """
-    key = ["choice", "kh", "kl"]
     keyed, chosen = _tables(counted.select("high", "low", "n"), search)
-    shared = materialise(keyed.groupBy(*key).agg(F.count("*").alias("size")).filter("size > 1"), "simhash-shared")
-    some = keyed.join(shared, key).withColumn("chunk", F.pmod(F.xxhash64("high", "low"), F.ceil(F.col("size") / chunk)))
-    chunks = materialise(some.groupBy(*key, "chunk").agg(F.collect_list(F.struct("high", "low", "n")).alias("prints")), "simhash-chunks")
-    other = chunks.select(*key, F.col("prints").alias("others"))
+    shared = materialise(keyed.groupBy(*KEY).agg(F.count("*").alias("size")).filter("size > 1"), "simhash-shared")
+    some = keyed.join(shared, KEY).withColumn("chunks", F.ceil(F.col("size") / chunk))
+    some = some.withColumn("chunk", F.pmod(F.xxhash64("high", "low"), "chunks"))
+    folded = F.struct(F.col("high").bitwiseXOR(F.col("low")).alias("fold"), "high", "low", "n")
+    chunks = some.groupBy(*KEY, "chunks", "chunk").agg(F.collect_list(folded).alias("prints"))
+    chunks = materialise(chunks, "simhash-chunks")
+    alone = chunks.filter("chunks = 1").select("choice", "prints", F.col("prints").alias("others"))
+    several, each = chunks.filter("chunks > 1"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
+    left = several.select(*KEY, "prints", "chunk", each.alias("other"))
+    right = several.select(*KEY, F.col("prints").alias("others"), each.alias("chunk"), F.col("chunk").alias("other"))
+    # Repeated chunks are larger than Spark guesses: never a broadcast.
+    met = left.join(right.hint("merge"), [*KEY, "chunk", "other"]).select("choice", "prints", "others")
 
     def near(x: Column) -> Column:
         def add(total: Column, y: Column) -> Column:
             x_high, x_low = x["high"].bitwiseXOR(y["high"]), x["low"].bitwiseXOR(y["low"])
-            differs = (x_high != 0) | (x_low != 0)
-            close = F.bit_count(x_high) + F.bit_count(x_low) <= search.radius
-            return F.when(differs & close, F.when(_first_shown(x_high, x_low, F.col("choice"), chosen, search), total + y["n"]).otherwise(total)).otherwise(total)
+            counts = ((x_high != 0) | (x_low != 0)) & _first_shown(x_high, x_low, F.col("last"), search)
+            return F.when(counts, total + y["n"]).otherwise(total)
 
-        return F.aggregate("others", F.lit(0).cast("long"), add)
+        # Values bound by let are read faster than fields of x.
+        maybe = let(x["fold"], lambda fold: F.filter("others", lambda y: F.bit_count(fold.bitwiseXOR(y["fold"])) <= search.radius))
+        close = let(x["high"], lambda high: let(x["low"], lambda low: F.filter(maybe, lambda y: distance(high, low, y["high"], y["low"]) <= search.radius)))
+        return F.aggregate(close, F.lit(0).cast("long"), add)
 
-    each = chunks.join(other, key).select(F.explode(F.transform("prints", lambda x: F.struct(x["high"].alias("high"), x["low"].alias("low"), near(x).alias("near")))).alias("x"))
-    return each.select("x.*").filter("near > 0").groupBy("high", "low").agg(F.sum("near").alias("near"))
+    counts = F.transform("prints", lambda x: F.struct(x["high"].alias("high"), x["low"].alias("low"), near(x).alias("near")))
+    found = alone.unionByName(met).withColumn("last", _last(F.col("choice"), chosen)).select(F.inline(F.filter(counts, lambda x: x["near"] > 0)))
+    return found.groupBy("high", "low").agg(F.sum("near").alias("near"))
 
 
 def links(printed: DataFrame, search: Search = Search()) -> DataFrame:
@@ -164,7 +183,10 @@ def links(printed: DataFrame, search: Search = Search()) -> DataFrame:
     printed: doc_id, text_sha256, high, low.
     """
     texts = printed.groupBy("text_sha256", "high", "low").agg(F.min("doc_id").alias("class_id"))
-    counted = materialise(texts.groupBy("high", "low").agg(F.count("*").alias("n")), "simhash-distinct")
+    # Few bytes, of which many rows are made: as many tasks as a shuffle has, not as few as their size asks for.
+    parts = int(printed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = texts.repartition(parts, "high", "low").groupBy("high", "low").agg(F.count("*").alias("n"))
+    counted = materialise(counted, "simhash-distinct")
     near = near_counts(counted, search)
     counts = counted.join(near, ["high", "low"], "left")
     return texts.join(counts, ["high", "low"]).select("text_sha256", "class_id", (F.col("n") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"))

@@ -123,3 +123,17 @@ def test_texts_with_one_changed_word_are_linked(spark):
 def test_no_python_in_the_plan(docs):
     plan = sh.edit_report(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_chunks_of_a_large_key_meet_in_many_tasks(spark):
+    # One key in most tables: 300 fingerprints that differ in the low bits only, in chunks of about 32.
+    prints = [x << 3 | x.bit_count() % 8 for x in range(300)]
+    counted = spark.createDataFrame([(0, x, 1) for x in prints], "high long, low long, n long")
+    frame = sh.near_counts(counted, sh.EDITED, 32)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "fold" in plan  # most pairs end there
+    dealt = [line for line in plan.splitlines() if "hashpartitioning(" in line and "chunk#" in line.split("hashpartitioning(")[1]]
+    assert dealt and all("other#" in line for line in dealt)
+    got = {r["low"]: r["near"] for r in frame.collect()}
+    want = {x: sum(1 for y in prints if x != y and (x ^ y).bit_count() <= sh.EDITED.radius) for x in prints}
+    assert got == {x: n for x, n in want.items() if n}
